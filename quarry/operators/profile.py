@@ -220,12 +220,13 @@ def histogram(df: DataFrame, col: str, bins: int | str = "auto", exact: bool = T
     def edge(i: Column) -> Column:
         return F.when(i == k, F.lit(hi)).otherwise(i.cast("double") * F.lit(step) + F.lit(lo))
 
-    guess = F.least(F.floor((x - F.lit(lo)) * F.lit(norm)).cast("int"), F.lit(k - 1))
+    v = F.col("x")
+    guess = F.least(F.floor((v - F.lit(lo)) * F.lit(norm)).cast("int"), F.lit(k - 1))
     binned = (
         df.select(x.alias("x")).filter(F.col("x").isNotNull())
         .withColumn("b", guess.alias("b"))
-        .withColumn("b", F.when(F.col("x") < edge(F.col("b")), F.col("b") - 1)
-                    .when((F.col("x") >= edge(F.col("b") + 1)) & (F.col("b") != k - 1), F.col("b") + 1)
+        .withColumn("b", F.when(v < edge(F.col("b")), F.col("b") - 1)
+                    .when((v >= edge(F.col("b") + 1)) & (F.col("b") != k - 1), F.col("b") + 1)
                     .otherwise(F.col("b")))
     )
     counts = binned.groupBy("b").agg(F.count(F.lit(1)).alias("count"))

@@ -101,7 +101,7 @@ def main() -> int:
             else:
                 status = f"ROWS {df.count()}"
         except Exception as e:  # noqa: BLE001
-            status = f"ERROR {type(e).__name__}: {str(e)[:400]}"
+            status = f"ERROR {type(e).__name__}: {str(e).splitlines()[0][:300]}"
         if status.startswith(("MISMATCH", "ERROR")):
             failed += 1
         print(f"{k:28s} {time.time() - t0:6.1f}s {status}", flush=True)
