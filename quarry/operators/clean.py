@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.scalar import lowercase_columns, strip
 from quarry.operators.keys import surrogate_key
-from quarry.operators.profile import column_modes, duplicate_count, null_counts, quantile_columns
+from quarry.operators.profile import column_medians, column_modes, duplicate_count, null_counts
 from quarry.operators.relational import columns_of_type, fill_constants
 
 
@@ -24,8 +24,8 @@ def impute_values(df: DataFrame, exact: bool = True) -> dict[str, object]:
         for row in column_modes(df, text).collect():
             values[row["column_name"]] = row["mode_value"]
     if nums:
-        med = df.agg(*[quantile_columns(c, [0.5], exact)[0].alias(c) for c in nums]).first()
-        values.update({c: med[c] for c in nums})
+        for row in column_medians(df, nums, method="exact" if exact else "approx").collect():
+            values[row["column_name"]] = row["median"]
     return values
 
 

@@ -8,8 +8,9 @@ task.  Instead:
    task) and sort inside each partition;
 2. number rows inside each partition (``monotonically_increasing_id`` keeps
    the partition id in its upper 31 bits, so the lower bits are the local
-   position) and freeze this with a reliable ``checkpoint``, so a lost
-   executor cannot renumber anything;
+   position) and freeze this by writing the numbered rows as a parquet table
+   in the shared checkpoint folder, so a lost executor cannot renumber
+   anything (one pass; a reliable RDD checkpoint would compute it twice);
 3. count rows per partition -- one row per partition, a proven bound -- turn
    the counts into offsets and broadcast them back.
 """
@@ -21,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import checkpoint_root
+from quarry.session import checkpoint_root, scratch_path
 
 
 def _asc(c: str | Column) -> Column:
@@ -48,8 +49,10 @@ def surrogate_key(df: DataFrame, order_by: Sequence[str | Column], key: str = "r
         .withColumn("_qk_pos", F.monotonically_increasing_id()
                     - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
         .drop("_qk_tie")
-        .checkpoint(eager=True)
     )
+    path = scratch_path(spark, "surrogate_key")
+    numbered.write.parquet(path)
+    numbered = spark.read.parquet(path)
     sizes = numbered.groupBy("_qk_part").agg(F.count(F.lit(1)).alias("_qk_n"))
     offsets = sizes.select(
         "_qk_part",

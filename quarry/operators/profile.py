@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators.quantiles import DEFAULT_ACCURACY, exact_quantiles
 from quarry.operators.relational import columns_of_type
 
 
@@ -136,21 +137,39 @@ def table_profile(df: DataFrame) -> DataFrame:
 
 def quantile_columns(col: str, probs: Sequence[float], exact: bool = True,
                      accuracy: int = 100_000) -> Column:
-    """Array of quantiles with linear interpolation (NumPy/pandas default).
-
-    ``exact=True`` is Spark's ``percentile`` (value counts merged per group);
-    ``exact=False`` is the mergeable ``percentile_approx`` sketch whose memory
-    does not grow with the data, for continuous columns at very large scale.
-    """
+    """Aggregate expression: array of quantiles (linear interpolation).
+    ``exact=True`` is Spark's ``percentile`` (its merge state grows with the
+    group's distinct values -- fine for low-cardinality columns);
+    ``exact=False`` is the bounded ``percentile_approx`` sketch.  Whole-table
+    exact quantiles go through ``quantiles`` instead."""
     arr = F.array(*[F.lit(float(p)) for p in probs])
     if exact:
         return F.percentile(F.col(col), arr)
     return F.percentile_approx(F.col(col), arr, accuracy).cast("array<double>")
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
-    """Count, mean, sample std, min, quartiles, max per numeric column, in
-    a single aggregate pass; long form, one row per column."""
+def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
+              method: str = "exact", accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """(by..., n, q array) per group.  ``exact``: bounded two-pass exact
+    method (``operators.quantiles``); ``approx``: one-pass sketch."""
+    if method == "exact":
+        return exact_quantiles(df, col, probs, by, accuracy)
+    x = F.col(col).cast("double")
+    data = df.filter(x.isNotNull())
+    agg = [F.count(F.lit(1)).alias("n"), quantile_columns(col, probs, exact=(method == "percentile")).alias("q")]
+    return data.groupBy(*by).agg(*agg) if by else data.agg(*agg)
+
+
+def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column_name, x) for every value of ``cols`` -- lets many columns share
+    one grouped quantile job."""
+    return _long(df, [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in cols])
+
+
+def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
+    """Count, mean, sample std, min, quartiles, max per numeric column;
+    moments in one aggregate pass, quartiles of all columns in one grouped
+    quantile job over the unpivoted values; long form, one row per column."""
     cols = list(cols) if cols is not None else columns_of_type(df, "numeric")
     aggs = []
     for i, c in enumerate(cols):
@@ -159,25 +178,26 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, exact: bo
             F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
             F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"),
         ]
-        aggs.append(quantile_columns(c, [0.25, 0.5, 0.75], exact).alias(f"q{i}"))
     wide = df.agg(*aggs)
     structs = [
         F.struct(
             F.lit(c).alias("column_name"), F.col(f"n{i}").alias("count"), F.col(f"mean{i}").alias("mean"),
-            F.col(f"std{i}").alias("std"), F.col(f"min{i}").alias("min"),
-            F.col(f"q{i}")[0].alias("p25"), F.col(f"q{i}")[1].alias("p50"), F.col(f"q{i}")[2].alias("p75"),
-            F.col(f"max{i}").alias("max"),
+            F.col(f"std{i}").alias("std"), F.col(f"min{i}").alias("min"), F.col(f"max{i}").alias("max"),
         )
         for i, c in enumerate(cols)
     ]
-    return _long(wide, structs)
+    q = quantiles(_long_values(df, cols), "x", [0.25, 0.5, 0.75], by=["column_name"], method=method)
+    return _long(wide, structs).join(q.drop("n"), "column_name", "left").select(
+        "column_name", "count", "mean", "std", "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
+        F.col("q")[2].alias("p75"), "max")
 
 
-def column_medians(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
+def column_medians(df: DataFrame, cols: Sequence[str], method: str = "exact") -> DataFrame:
     """Median per column (nulls skipped), long form."""
-    wide = df.agg(*[quantile_columns(c, [0.5], exact)[0].alias(f"m{i}") for i, c in enumerate(cols)])
-    return _long(wide, [F.struct(F.lit(c).alias("column_name"), F.col(f"m{i}").alias("median"))
-                        for i, c in enumerate(cols)])
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    q = quantiles(_long_values(df, cols), "x", [0.5], by=["column_name"], method=method)
+    return F.broadcast(names).join(q, "column_name", "left").select(
+        "column_name", F.col("q")[0].alias("median"))
 
 
 # ------------------------------------------------------------ histogram ----
@@ -201,17 +221,15 @@ def histogram(df: DataFrame, col: str, bins: int | str = "auto", exact: bool = T
     value with built-in arithmetic and counts per bin.
     """
     x = F.col(col).cast("double")
-    stats = df.filter(x.isNotNull()).agg(
-        F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"),
-        quantile_columns(col, [0.25, 0.75], exact).alias("q"),
-    ).first()
+    stats = df.filter(x.isNotNull()).agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()
     if stats is None or not stats["n"]:
         return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, count bigint")
     lo, hi = float(stats["lo"]), float(stats["hi"])
     if lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
     if bins == "auto":
-        k = _numpy_auto_bins(int(stats["n"]), lo, hi, float(stats["q"][0]), float(stats["q"][1]))
+        q = quantiles(df, col, [0.25, 0.75], method="exact" if exact else "approx").first()["q"]
+        k = _numpy_auto_bins(int(stats["n"]), lo, hi, float(q[0]), float(q[1]))
     else:
         k = int(bins)
     step = (hi - lo) / k
@@ -280,10 +298,8 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), whis: float = 1.5
     by = list(by)
     x = F.col(col).cast("double")
     data = df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull())
-    q = data.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
-        quantile_columns("_x", [0.25, 0.5, 0.75], exact).alias("_q"),
-    ).select(*by, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    q = quantiles(data, "_x", [0.25, 0.5, 0.75], by=by, method="exact" if exact else "approx").select(
+        *by, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lo_fence", F.col("q1") - F.lit(whis) * F.col("iqr")) \
          .withColumn("hi_fence", F.col("q3") + F.lit(whis) * F.col("iqr"))

@@ -81,7 +81,8 @@ JOIN bills b ON a.appointment_id = b.appointment_id
 
 def booking_board_frame(spark, sf_dir):
     decided, t = _decided(spark, sf_dir)
-    appts = bk.confirmed_appointments(decided)
+    # admitted once, reused by the invoices and the tracker join
+    appts = bk.confirmed_appointments(decided).checkpoint(eager=True)
     bills = bk.issue_invoices(appts, fx.doctors(t))
     return bk.booking_board(appts, fx.patients(t), fx.doctors(t), bills)
 

@@ -93,3 +93,19 @@ def test_value_and_category_counts(spark):
     assert [tuple(r) for r in pr.value_counts(df, "a").collect()] == [("x", 2), ("y", 1)]
     got = {(r.column_name, r.value): r["count"] for r in pr.category_counts(df, ["a", "b"]).collect()}
     assert got == {("a", "x"): 2, ("a", "y"): 1, ("b", "p"): 2}
+
+
+def test_bracketed_quantiles_match_numpy(spark):
+    from quarry.operators.quantiles import exact_quantiles
+
+    rng = np.random.default_rng(11)
+    big = np.round(rng.lognormal(3, 1, 6000), 1)          # many ties, long tail
+    hot = np.concatenate([np.full(3000, 7.0), rng.normal(size=500)])  # one value holds most rows
+    rows = [("big", float(v)) for v in big] + [("hot", float(v)) for v in hot] + [("tiny", 1.0), ("tiny", 4.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = {r.g: r.q for r in exact_quantiles(df, "v", probs, by=["g"], accuracy=100).collect()}
+    for g, vals in (("big", big), ("hot", hot), ("tiny", np.array([1.0, 4.0]))):
+        assert np.allclose(got[g], np.percentile(vals, [p * 100 for p in probs]), rtol=0, atol=1e-9), g
+    glob = exact_quantiles(df.filter("g = 'big'"), "v", probs, accuracy=100).first().q
+    assert np.allclose(glob, np.percentile(big, [p * 100 for p in probs]))
