@@ -65,3 +65,10 @@ def local_path(path: str) -> str:
 def ensure_dir(path: str) -> str:
     os.makedirs(local_path(path), exist_ok=True)
     return path
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint(eager=True)`` into the shared checkpoint folder (never
+    ``localCheckpoint``: executor-local blocks die with the executor)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
