@@ -51,7 +51,9 @@ def admit_bookings(requests: DataFrame, held: DataFrame, doctors: DataFrame, pat
         .join(taken, slot, "left")
         .fillna(False, subset=["_doc_ok", "_pat_ok", "_held"])
     )
-    order = F.struct(*[F.col(c) for c in order_by])
+    # a single order column stays a plain min (hash aggregate); several need
+    # a struct, which Spark aggregates by sorting
+    order = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*[F.col(c) for c in order_by])
     valid = F.col("_doc_ok") & ~F.col("_held") & F.col("_pat_ok")
     winners = r.filter(valid).groupBy(*slot).agg(F.min(order).alias("_first"))
     decided = r.join(winners, slot, "left").withColumn(

@@ -9,7 +9,7 @@ from quarry.operators import booking as bk
 from quarry.operators.relational import apply_defaults, conflict_counts
 from quarry.plans import fixtures as fx
 from quarry.plans.registry import query
-from quarry.session import reliable_checkpoint
+from quarry.session import materialize
 from quarry.spec import APPOINTMENTS, DOCTOR_SAMPLE_ROWS
 
 _ADMIT_SQL = """,
@@ -83,7 +83,7 @@ JOIN bills b ON a.appointment_id = b.appointment_id
 def booking_board_frame(spark, sf_dir):
     decided, t = _decided(spark, sf_dir)
     # admitted once, reused by the invoices and the tracker join
-    appts = reliable_checkpoint(bk.confirmed_appointments(decided))
+    appts = materialize(bk.confirmed_appointments(decided), "admitted")
     bills = bk.issue_invoices(appts, fx.doctors(t))
     return bk.booking_board(appts, fx.patients(t), fx.doctors(t), bills)
 

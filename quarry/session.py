@@ -72,3 +72,14 @@ def reliable_checkpoint(df):
     ``localCheckpoint``: executor-local blocks die with the executor)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a parquet table in the shared checkpoint folder and
+    read it back: cuts lineage (a lost executor re-reads, never recomputes),
+    and later passes -- e.g. a range partitioner's sampling job -- scan the
+    columnar copy instead of re-running the upstream joins."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
