@@ -14,12 +14,16 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
-                  app: str = "quarry", driver_memory: str = "8g") -> SparkSession:
+                  app: str = "quarry", driver_memory: str = "8g",
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
     """A local session configured the way the library expects a cluster to be."""
     if shuffle_partitions is None:
         shuffle_partitions = 8 if cores == "*" else max(2, 2 * int(cores))
+    builder = SparkSession.builder
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
