@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quarry.operators import clean as cl
@@ -9,6 +11,7 @@ from quarry.operators import quality as qa
 from quarry.operators.keys import surrogate_key
 from quarry.plans import fixtures as fx
 from quarry.plans.registry import query
+from quarry.session import scratch_path
 
 
 def _t(spark, sf_dir):
@@ -91,9 +94,12 @@ def _parts(spark, sf_dir):
     f"SELECT '{name}' AS table_name, count(*) AS n_rows, min(row_id) AS min_key, max(row_id) AS max_key, "
     f"count(DISTINCT row_id) AS n_keys FROM keyed" for name in fx.WIDE_PARTS))
 def normalize_tables(spark, sf_dir):
-    """B2: the wide row split into four tables sharing one generated key."""
+    """B2: the wide row split into four tables sharing one generated key,
+    stored bucketed by that key; counts read back from the stored tables."""
+    db = f"quarry_{uuid.uuid4().hex[:12]}"
+    stored = cl.store_bucketed(_parts(spark, sf_dir), db, scratch_path(spark, "normalized"), key="row_id")
     out = None
-    for name, df in _parts(spark, sf_dir).items():
+    for name, df in stored.items():
         row = df.agg(F.count(F.lit(1)).alias("n_rows"), F.min("row_id").alias("min_key"),
                      F.max("row_id").alias("max_key"), F.count_distinct("row_id").alias("n_keys"))
         row = row.select(F.lit(name).alias("table_name"), "*")
@@ -103,8 +109,11 @@ def normalize_tables(spark, sf_dir):
 
 @query("reassemble_wide", sql=_KEYED_SQL + "SELECT * FROM keyed")
 def reassemble_wide(spark, sf_dir):
-    """The four parts joined back equal the keyed wide rows."""
-    return cl.reassemble(_parts(spark, sf_dir), key="row_id")
+    """The four parts, stored bucketed by the key, joined back equal the
+    keyed wide rows."""
+    db = f"quarry_{uuid.uuid4().hex[:12]}"
+    stored = cl.store_bucketed(_parts(spark, sf_dir), db, scratch_path(spark, "normalized"), key="row_id")
+    return cl.reassemble(stored, key="row_id")
 
 
 @query("reconcile_counts", sql="WITH " + fx.WIDE_SQL + "\n" + " UNION ALL ".join(
