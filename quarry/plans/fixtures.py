@@ -51,12 +51,9 @@ WIDE_PARTS = {
 
 def wide(t: Tables) -> DataFrame:
     l, o, c, n = t("lineitem"), t("orders"), t("customer"), t("nation")
-    return (
-        l.join(o, l.l_orderkey == o.o_orderkey)
-        .join(c, o.o_custkey == c.c_custkey)
-        .join(n, c.c_nationkey == n.n_nationkey)
-        .select(*WIDE_COLS)
-    )
+    # dimension side first: lineitem is shuffled once, on the order key
+    enriched = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+    return l.join(enriched, l.l_orderkey == enriched.o_orderkey).select(*WIDE_COLS)
 
 
 WIDE_SQL = f"""wide AS (

@@ -280,17 +280,16 @@ JOIN nation ON c_nationkey = n_nationkey"""
 
 @query("join_four_way", sql=JOIN4_SQL)
 def join_four_way(spark, sf_dir):
-    """Unfiltered star join.  No hints: AQE sees the runtime size of each
-    side and broadcasts the small dimensions; lineitem x orders stays a
-    shuffled join on the order key."""
+    """Unfiltered star join.  Orders are enriched with their customer and
+    nation first, so the lineitem-sized side is shuffled once (on the order
+    key) even when customer is too large to broadcast; no hints -- AQE
+    broadcasts whichever sides are small at runtime."""
     t = _t(spark, sf_dir)
     l, o, c, n = t("lineitem"), t("orders"), t("customer"), t("nation")
-    return (
-        l.join(o, l.l_orderkey == o.o_orderkey)
-        .join(c, o.o_custkey == c.c_custkey)
-        .join(n, c.c_nationkey == n.n_nationkey)
-        .select("l_orderkey", "l_linenumber", "l_extendedprice", "o_orderdate", "c_name", "n_name")
-    )
+    enriched = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey).select(
+        "o_orderkey", "o_orderdate", "c_name", "n_name")
+    return l.join(enriched, l.l_orderkey == enriched.o_orderkey).select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "o_orderdate", "c_name", "n_name")
 
 
 @query("fk_orphans", sql="""
