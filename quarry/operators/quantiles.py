@@ -8,11 +8,11 @@ in one task, which grows with the group's distinct values.  Here:
    ``[lo, hi]`` around each target rank from the mergeable
    ``percentile_approx`` sketch (its rank error is at most n/accuracy, the
    bracket is wider than that);
-2. a second pass maps every value below ``lo`` to -inf and drops values above
-   ``hi``, then counts (group, target, value) -- partial aggregation folds
-   the "below" mass and any hot value into single counts before the shuffle
-   -- and only the bracketed distinct values (about 8/accuracy of the group)
-   are gathered per group;
+2. a second pass marks every value below ``lo`` as "below" and drops values
+   above ``hi``, then counts (group, target, value) -- partial aggregation
+   folds the "below" mass and any hot value into single counts before the
+   shuffle -- and only the bracketed distinct values (about 8/accuracy of
+   the group) are gathered per group;
 3. the order statistics at floor(r) and floor(r)+1, r = p*(n-1), are read off
    the cumulative counts and interpolated exactly like NumPy's ``linear``
    method.  A bracket that missed (never expected) raises instead of
@@ -31,7 +31,8 @@ DEFAULT_ACCURACY = 10_000
 
 def _kth(entries: Column, rank: Column) -> Column:
     """Value of the 0-based ``rank``-th element of a sorted array of
-    (x, cnt) structs whose counts are multiplicities."""
+    (below, x, cnt) structs: the "below the bracket" entry sorts first and has
+    no value, so a rank that falls below the bracket yields NULL."""
     init = F.struct(F.lit(0).cast("bigint").alias("cum"), F.lit(None).cast("double").alias("v"))
     acc = F.aggregate(entries, init, lambda a, e: F.when(a["cum"] > rank, a).otherwise(
         F.struct((a["cum"] + e["cnt"]).alias("cum"), e["x"].alias("v"))))
@@ -49,10 +50,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     """(by..., n, q) with ``q[i]`` the exact linear-interpolated quantile
     ``probs[i]`` of the non-null values of ``value`` per group.
 
-    Groups below ``2 * accuracy`` rows use Spark's exact ``percentile``,
-    whose state is then bounded by that size; larger groups use the sketch
-    bracket, which is wide enough there (margin >= 3n/accuracy ranks against
-    a sketch error of n/accuracy and an index convention offset of 2)."""
+    Groups below ``2 * accuracy`` rows take the whole range as their bracket
+    (all of their < 2*accuracy values are candidates); larger groups use the
+    sketch bracket, wide enough there (margin >= 3n/accuracy ranks against a
+    sketch error of n/accuracy and an index-convention offset of 2).  Both
+    kinds go through the same single second pass."""
     by = list(by)
     probs = [float(p) for p in probs]
     small_n = 2 * accuracy
@@ -61,43 +63,35 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     brackets = []
     for p in probs:
         brackets += [max(0.0, p - delta), min(1.0, p + delta)]
+    whole = F.array(*[F.lit(float(v)) for _ in probs for v in ("-inf", "inf")])
     stats = x.groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
                                F.percentile_approx("_x", brackets, accuracy).alias("_b"))
-    p_lits = F.array(*[F.lit(p) for p in probs])
-    if not by:
+    stats = stats.withColumn("_b", F.when(F.col("n") < small_n, whole).otherwise(F.col("_b").cast("array<double>")))
+    if by:
+        # one row per group on the right: AQE broadcasts it when small
+        joined = x.join(stats, by)
+    else:
         row = stats.first()
         if row is None:
             return stats.select("n", F.lit(None).cast("array<double>").alias("q")).limit(0)
-        if row["n"] < small_n:
-            return x.agg(F.count(F.lit(1)).alias("n"), F.percentile("_x", p_lits).alias("q"))
-        joined = x.select("_x", F.lit(row["n"]).alias("n"),
-                          F.array(*[F.lit(float(v)) for v in row["_b"]]).alias("_b"))
-        return _bracketed(joined, [], probs)
-    joined = x.join(stats, by)
-    small = joined.filter(F.col("n") < small_n).groupBy(*by, "n").agg(F.percentile("_x", p_lits).alias("q"))
-    large = _bracketed(joined.filter(F.col("n") >= small_n), by, probs)
-    return small.unionByName(large)
-
-
-def _bracketed(joined: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
+        joined = x.select("_x", F.lit(row["n"]).alias("n"), F.array(*[F.lit(float(v)) for v in row["_b"]]).alias("_b"))
     k = len(probs)
     # one row per (value, target whose bracket does not lie below it)
-    tagged = joined.select(*by, "n", F.explode(F.filter(F.sequence(F.lit(0), F.lit(k - 1)),
-                                                        lambda i: F.col("_x") <= F.col("_b")[2 * i + 1])).alias("_i"),
-                           "_x", "_b")
-    tagged = tagged.select(*by, "n", "_i", F.when(F.col("_x") < F.col("_b")[2 * F.col("_i")], F.lit(float("-inf")))
-                           .otherwise(F.col("_x")).alias("_v"))
-    counts = tagged.groupBy(*by, "n", "_i", "_v").agg(F.count(F.lit(1)).alias("cnt"))
-    lists = counts.groupBy(*by, "n", "_i").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_v").alias("x"), F.col("cnt")))).alias("_e"))
+    tagged = joined.select(*by, "n", "_x", "_b", F.explode(F.filter(
+        F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.col("_x") <= F.col("_b")[2 * i + 1])).alias("_i"))
+    below = F.col("_x") < F.col("_b")[2 * F.col("_i")]
+    tagged = tagged.select(*by, "n", "_i", F.when(below, 0).otherwise(1).alias("_in"),
+                           F.when(below, F.lit(None)).otherwise(F.col("_x")).alias("_v"))
+    counts = tagged.groupBy(*by, "n", "_i", "_in", "_v").agg(F.count(F.lit(1)).alias("cnt"))
+    lists = counts.groupBy(*by, "n", "_i").agg(F.sort_array(F.collect_list(
+        F.struct(F.col("_in"), F.col("_v").alias("x"), F.col("cnt")))).alias("_e"))
     p_arr = F.array(*[F.lit(p) for p in probs])
     r = p_arr[F.col("_i")] * (F.col("n") - 1)
     f = F.floor(r).cast("bigint")
     c = F.least(f + 1, F.col("n") - 1)
     lo_v, hi_v = _kth(F.col("_e"), f), _kth(F.col("_e"), c)
-    bad = lo_v.isNull() | hi_v.isNull() | (lo_v == float("-inf"))
-    val = F.when(bad, F.raise_error(F.lit("quantile bracket missed; raise accuracy"))).otherwise(
-        _lerp(lo_v, hi_v, r - f))
+    val = F.when(lo_v.isNull() | hi_v.isNull(), F.raise_error(F.lit("quantile bracket missed; raise accuracy"))
+                 ).otherwise(_lerp(lo_v, hi_v, r - f))
     per = lists.select(*by, "n", "_i", val.cast("double").alias("_q"))
     return per.groupBy(*by, "n").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("_i", "_q"))), lambda s: s["_q"]).alias("q"))
