@@ -74,7 +74,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
         row = stats.first()
         if row is None:
             return stats.select("n", F.lit(None).cast("array<double>").alias("q")).limit(0)
-        joined = x.select("_x", F.lit(row["n"]).alias("n"), F.array(*[F.lit(float(v)) for v in row["_b"]]).alias("_b"))
+        joined = x.select("_x", F.lit(row["n"]).cast("bigint").alias("n"), F.array(*[F.lit(float(v)) for v in row["_b"]]).alias("_b"))
     k = len(probs)
     # one row per (value, target whose bracket does not lie below it)
     tagged = joined.select(*by, "n", "_x", "_b", F.explode(F.filter(
