@@ -109,3 +109,16 @@ def test_bracketed_quantiles_match_numpy(spark):
         assert np.allclose(got[g], np.percentile(vals, [p * 100 for p in probs]), rtol=0, atol=1e-9), g
     glob = exact_quantiles(df.filter("g = 'big'"), "v", probs, accuracy=100).first().q
     assert np.allclose(glob, np.percentile(big, [p * 100 for p in probs]))
+
+
+def test_quantile_schema_same_on_both_paths(spark):
+    from quarry.operators.quantiles import exact_quantiles
+
+    df = spark.range(500).selectExpr("CAST(id AS DOUBLE) AS v")
+    small = exact_quantiles(df, "v", [0.5], accuracy=10_000)     # whole-range bracket
+    large = exact_quantiles(df, "v", [0.5], accuracy=10)         # sketch bracket
+    assert small.schema == large.schema
+    assert small.first().q == large.first().q == [249.5]
+    with_inf = spark.createDataFrame([(float("-inf"),), (1.0,), (2.0,)], "v double")
+    got = exact_quantiles(with_inf, "v", [0.0, 0.5]).first().q       # -inf data is not "below the bracket"
+    assert np.allclose(got, np.percentile([-np.inf, 1.0, 2.0], [0, 50]), equal_nan=True)
