@@ -44,15 +44,19 @@ class StackedModel:
 
 
 def fit_stacking(estimators: Mapping[str, object], train: DataFrame, alpha: float = 1.0,
-                 key: str = "row_id", fold_col: str = "fold", k: int = 5) -> StackedModel:
+                 key: str = "row_id", fold_col: str = "fold", k: int = 5, oof: DataFrame | None = None,
+                 fitted: Mapping[str, object] | None = None) -> StackedModel:
+    """M10.  ``oof`` (out-of-fold predictions on the same folds, e.g. the ones
+    cross-validation already made) and ``fitted`` bases are reused when given."""
     names = list(estimators)
-    oof = oof_predictions(estimators, train, key, fold_col, k)
+    if oof is None:
+        oof = oof_predictions(estimators, train, key, fold_col, k)
     wide = oof.groupBy(key, "label").pivot("model", names).agg(F.first("prediction"))
     va = VectorAssembler(inputCols=names, outputCol="meta_features")
     meta_in = va.transform(wide)
     stats = meta_in.agg(F.stddev_pop("label").alias("sd"), F.count(F.lit(1)).alias("n")).first()
     meta = ridge(alpha, float(stats["sd"]), int(stats["n"])).fit(meta_in)
-    bases = {n: est.fit(train) for n, est in estimators.items()}
+    bases = {n: (fitted or {}).get(n) or est.fit(train) for n, est in estimators.items()}
     return StackedModel(bases, meta, names)
 
 

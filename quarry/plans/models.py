@@ -85,12 +85,8 @@ class Lab:
 
     def stacked(self):
         names = list(self.estimators())
-        wide = self.oof().groupBy("row_id", "label").pivot("model", names).agg(F.first("prediction"))
-        from pyspark.ml.feature import VectorAssembler
-        meta_in = VectorAssembler(inputCols=names, outputCol="meta_features").transform(wide)
-        s = meta_in.agg(F.stddev_pop("label").alias("sd"), F.count(F.lit(1)).alias("n")).first()
-        meta = sk.ridge(1.0, float(s["sd"]), int(s["n"])).fit(meta_in)
-        return sk.StackedModel({n: self.model(n) for n in names}, meta, names)
+        return sk.fit_stacking(self.estimators(), self.train, alpha=1.0, oof=self.oof(),
+                               fitted={n: self.model(n) for n in names})
 
     def grid(self):
         if "_grid" not in self._models:
