@@ -61,6 +61,12 @@ def key_lookup(df: DataFrame, col: str, value) -> DataFrame:
     return df.filter(F.col(col) == v)
 
 
+def key_lookup_sql(df: DataFrame, col: str, value) -> DataFrame:
+    """P6 as SQL with a bound parameter -- the prepared-statement form
+    (``WHERE col = ?``) without string concatenation of the value."""
+    return df.sparkSession.sql(f"SELECT * FROM {{t}} WHERE `{col}` = :k", args={"k": value}, t=df)
+
+
 def filter_project(df: DataFrame, predicate: Column, *cols: str) -> DataFrame:
     return df.filter(predicate).select(*cols)
 

@@ -93,3 +93,22 @@ def test_select_by_type(spark):
     df = spark.createDataFrame([(1, "a", 2.0)], "i int, s string, d double")
     assert rel.columns_of_type(df, "numeric") == ["i", "d"]
     assert rel.columns_of_type(df, "string") == ["s"]
+
+
+def test_key_lookup_sql_binds_parameter(spark):
+    df = _doctors(spark)
+    assert [r.doctor_id for r in rel.key_lookup_sql(df, "specialty", "Cardiology").collect()] == [1]
+    assert rel.key_lookup_sql(df, "specialty", "x' OR '1'='1").count() == 0   # a value, never SQL text
+
+
+def test_read_csv_pandas_missing_tokens(spark):
+    from quarry.session import scratch_path
+    from quarry.sources import io
+
+    path = scratch_path(spark, "test_csv_tokens")
+    rows = [("1", "a", "1.5"), ("2", "NA", "null"), ("3", "", "N/A"), ("4", "None", "2.0")]
+    spark.createDataFrame(rows, "id string, s string, x string").coalesce(1).write.option("header", True) \
+        .option("sep", ";").csv(path)
+    out = io.read_csv(spark, path, spark.createDataFrame([], "id int, s string, x double").schema, sep=";")
+    got = {r.id: (r.s, r.x) for r in out.collect()}
+    assert got == {1: ("a", 1.5), 2: (None, None), 3: (None, None), 4: (None, 2.0)}
