@@ -30,12 +30,27 @@ def breach_day(fit: DataFrame, threshold: float) -> DataFrame:
 
 def threshold_forecast(df: DataFrame, x: str, y: str, threshold: float, horizon_after: int = 4,
                        by: Sequence[str] = ()) -> DataFrame:
-    """Fit, breach day, and the fitted line for days ``1 .. breach+4``
-    (one row per series and day, generated by ``explode(sequence)``)."""
+    """Fit, breach day, and the fitted line for days ``1 .. breach+4``.
+
+    One series: the fit is one row, and the line comes from ``spark.range``,
+    so a far-off breach day yields a long line split across partitions, not
+    an ``explode`` inside one task.  Per series (``by``): one
+    ``explode(sequence)`` per series row."""
     fit = breach_day(trend_fit(df, x, y, by), threshold)
+    if not by:
+        row = fit.first()
+        if row is None or row["breach_day"] is None:
+            return df.sparkSession.createDataFrame([], "day bigint, predicted double, breach_day bigint")
+        days = df.sparkSession.range(1, int(row["breach_day"]) + horizon_after + 1).withColumnRenamed("id", "day")
+        return days.select("day", (F.lit(row["intercept"]) + F.lit(row["slope"]) * F.col("day")).alias("predicted"),
+                           F.lit(row["breach_day"]).cast("bigint").alias("breach_day"))
     line = fit.filter(F.col("breach_day").isNotNull()).select(
         *by, "slope", "intercept", "breach_day",
-        F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("breach_day") + horizon_after)).alias("day"))
+        # an already-crossed threshold (breach_day + horizon < 1) gives no line,
+        # as range(1, breach + 5) does; sequence() would count downwards
+        F.explode(F.when(F.col("breach_day") + horizon_after >= 1,
+                         F.sequence(F.lit(1).cast("bigint"), F.col("breach_day") + horizon_after))
+                  .otherwise(F.array().cast("array<bigint>"))).alias("day"))
     return line.select(*by, "day", (F.col("intercept") + F.col("slope") * F.col("day")).alias("predicted"),
                        "breach_day")
 

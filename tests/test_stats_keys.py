@@ -77,3 +77,12 @@ def test_surrogate_key_hot_duplicate_rows_split(spark):
     keyed = surrogate_key(df, ["a", "b"], start=10, num_partitions=6)
     s = keyed.agg(F.min("row_id"), F.max("row_id"), F.count_distinct("row_id")).first()
     assert tuple(s) == (10, 909, 900)
+
+
+def test_forecast_line_per_series_and_crossed_threshold(spark):
+    rows = [("up", d, 10.0 + 2.0 * d) for d in range(1, 11)] + [("over", d, 100.0 + 1.0 * d) for d in range(1, 11)]
+    df = spark.createDataFrame(rows, "s string, day int, v double")
+    per = {r.s: r["count"] for r in fc.threshold_forecast(df, "day", "v", 50.0, by=["s"]).groupBy("s").count().collect()}
+    assert per == {"up": 20 + 4}                      # breach at day 20; "over" has no line
+    single = fc.threshold_forecast(df.filter("s = 'over'"), "day", "v", 50.0)
+    assert single.count() == 0
