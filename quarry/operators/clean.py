@@ -75,7 +75,11 @@ def store_bucketed(parts: Mapping[str, DataFrame], database: str, location: str,
     tables on the key then read co-partitioned, pre-sorted buckets: no
     shuffle and no sort at reassembly time, however often it runs."""
     spark = next(iter(parts.values())).sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if buckets is None:
+        # about a million rows per bucket, at most spark.sql.shuffle.partitions
+        rows = next(iter(parts.values())).count()
+        buckets = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // 1_000_000)))
+    n = buckets
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     out = {}
     for name, df in parts.items():

@@ -39,11 +39,13 @@ def surrogate_key(df: DataFrame, order_by: Sequence[str | Column], key: str = "r
     """
     spark = df.sparkSession
     checkpoint_root(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [_asc(c) for c in order_by] + [F.col("_qk_tie").asc()]
+    tied = df.withColumn("_qk_tie", F.monotonically_increasing_id())
+    # without an explicit count AQE sizes the range partitions from the data
+    # (coalescing keeps them contiguous and in order, which the numbering needs)
+    ranged = tied.repartitionByRange(num_partitions, *order) if num_partitions else tied.repartitionByRange(*order)
     numbered = (
-        df.withColumn("_qk_tie", F.monotonically_increasing_id())
-        .repartitionByRange(n, *order)
+        ranged
         .sortWithinPartitions(*order)
         .withColumn("_qk_part", F.spark_partition_id())
         .withColumn("_qk_pos", F.monotonically_increasing_id()

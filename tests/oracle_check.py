@@ -78,6 +78,7 @@ def compare(spark_df, duck_rel):
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--partitions", type=int, default=None, help="spark.sql.shuffle.partitions")
     ap.add_argument("keys", nargs="*")
     args = ap.parse_args()
 
@@ -85,7 +86,7 @@ def main() -> int:
 
     import __spark_entry__ as entry
 
-    spark = local_session()
+    spark = local_session(shuffle_partitions=args.partitions)
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(args.sf)
     qs, sqls = entry.queries(), entry.oracle_sql()
