@@ -35,3 +35,9 @@ def test_admission_has_no_window_over_slots(spark):
 def test_no_cartesian_or_nested_loop_joins(spark, key):
     plan = _plan(entry.queries()[key](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, key
+
+
+def test_bucketed_reassembly_needs_no_shuffle(spark):
+    plan = _plan(entry.queries()["reassemble_wide"](spark, SF_SMALL))
+    assert "Bucketed: true" in plan
+    assert "hashpartitioning(row_id" not in plan
