@@ -38,6 +38,19 @@ def test_no_cartesian_or_nested_loop_joins(spark, key):
 
 
 def test_bucketed_reassembly_needs_no_shuffle(spark):
-    plan = _plan(entry.queries()["reassemble_wide"](spark, SF_SMALL))
+    import uuid
+
+    from quarry.operators import clean as cl
+    from quarry.session import scratch_path
+
+    df = spark.range(20_000).selectExpr("id AS row_id", "id % 7 AS a", "id % 11 AS b")
+    parts = {"pa": df.select("row_id", "a"), "pb": df.select("row_id", "b")}
+    stored = cl.store_bucketed(parts, f"quarry_t{uuid.uuid4().hex[:8]}", scratch_path(spark, "bucket_test"),
+                               key="row_id", buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(cl.reassemble(stored, key="row_id"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Bucketed: true" in plan
     assert "hashpartitioning(row_id" not in plan
