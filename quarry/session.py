@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -37,11 +38,35 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     )
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application.
+
+    Python workers import functions by module name.  A zip of the package is
+    served by the driver like any ``--py-files`` entry, so a job runs from any
+    folder and on machines where the package is not installed.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_quarry_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.basename(package)
+    target = os.path.join(tempfile.mkdtemp(prefix="quarry-code-"), f"{name}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(package):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join(name, os.path.relpath(full, package)))
+    sc.addPyFile(target)
+    sc._quarry_shipped = True
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (a bare test session) is a
-    private folder created and registered, so ``DataFrame.checkpoint`` works.
+    Read from the session.  Only a ``local[...]`` session that names none, as in
+    tests, gets a private folder; on a cluster that is an error, as a folder of
+    one machine is not seen by the others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,6 +74,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -61,23 +88,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}{sep}quarry/{name}/{uuid.uuid4().hex}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers used by tests."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> str:
-    os.makedirs(local_path(path), exist_ok=True)
-    return path
-
-
-def reliable_checkpoint(df):
-    """``df.checkpoint(eager=True)`` into the shared checkpoint folder (never
-    ``localCheckpoint``: executor-local blocks die with the executor)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df, name: str):
     """Write ``df`` once as a parquet table in the shared checkpoint folder and
     read it back: cuts lineage (a lost executor re-reads, never recomputes),
