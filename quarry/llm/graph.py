@@ -1,7 +1,8 @@
 """Connected components of an edge table, by large-star and small-star rounds.
 
 Both rounds are a grouped minimum and a join back on the vertex; a hot vertex is
-one hot join key whose other side is a single row, which AQE splits.  Each round
+one hot join key whose other side is a single row; the minima are written first,
+so the join reads plain exchanges and AQE splits such a key.  Each round
 is written to the shared folder, so a lost executor costs a re-read, and the
 driver sees only a row count and a checksum.
 """
@@ -26,9 +27,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     for _ in range(max_rounds):
         both = cur.union(cur.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = materialize(least, "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Now every edge goes from a vertex to a smaller one.
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = materialize(large, "large")
+        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         cur = materialize(small.union(low.select("u", "m")).distinct(), "edges")
         now = cur.agg(*checksum).first()

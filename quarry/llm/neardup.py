@@ -245,7 +245,8 @@ def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def shared(rows: DataFrame) -> DataFrame:
         nodes = rows.groupBy("node").agg(F.count("*").alias("members"), F.min("cid").alias("head")).where("members > 1")
-        return materialize(rows.join(nodes, "node"), "shared_nodes")
+        # Written, so that the join's sides are plain exchanges and a hot node splits.
+        return materialize(rows.join(materialize(nodes, "node_sizes"), "node"), "shared_nodes")
 
     cur = shared(rows)
     repeated = bool(live.groupBy("doc_id", "sig").count().where("count > 1").head(1))
@@ -262,6 +263,7 @@ def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             "node", "cid", F.coalesce("l_label", "cid").alias("label"))
         mixed = cur.groupBy("node").agg(F.count("*").alias("members"), F.min("label").alias("lo"),
                                         F.max("label").alias("hi")).where("lo <> hi").select("node", "members")
+        mixed = materialize(mixed, "node_sizes")
         cur = materialize(cur.join(mixed, "node"), "mixed_nodes")
         last = level == DEPTH - 1
         small = cur.where(F.col("members") <= NODE_LIMIT).withColumn("part", F.lit(0).cast("long"))

@@ -129,7 +129,12 @@ def _with_margin(bad: DataFrame, conds: list[Condition]) -> tuple[Condition, ...
     bad rows), so that a value just past a quantile is not yet bad."""
     near = bad.agg(*[F.percentile_approx(c.feature, 0.95 if c.at_most else 0.05, 10_000).alias(str(i))
                      for i, c in enumerate(conds)]).first()
-    return tuple(Condition(c.feature, c.at_most, (c.cut + float(near[str(i)])) / 2) for i, c in enumerate(conds))
+    cuts = {}
+    for i, c in enumerate(conds):
+        cut = (c.cut + float(near[str(i)])) / 2
+        old = cuts.get((c.feature, c.at_most), cut)
+        cuts[c.feature, c.at_most] = min(old, cut) if c.at_most else max(old, cut)
+    return tuple(Condition(f, a, cut) for (f, a), cut in cuts.items())
 
 
 def learn_rules(train: DataFrame, max_rules: int = 8, max_conditions: int = 4, cuts: int = 32,

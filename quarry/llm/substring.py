@@ -215,6 +215,7 @@ def repeated_spans(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     cut = travel.where(F.col("n") > bucket).drop("n")
     windows = materialize(cut.mapInArrow(_cut_windows, "x long, y long, doc_id long, th long, start int"), "windows")
     twice = windows.groupBy("x", "y").agg(F.count("*").alias("n")).where("n > 1").select("x", "y")
+    twice = materialize(twice, "repeated_windows")  # a hot window's join can then be split
     spans = spans.union(windows.join(twice, ["x", "y"]).select(
         "doc_id", "th", "start", (F.col("start") + WINDOW).alias("stop")))
     return spans.distinct().groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
