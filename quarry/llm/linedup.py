@@ -45,7 +45,8 @@ def drop_bitmaps(runs: DataFrame) -> DataFrame:
     first = (runs.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
                                           F.count("*").alias("n"), F.count("doc_id").alias("named"))
              .where("first < last or (named < n and named > 0)").select("h1", "h2", "first"))
-    drop = runs.join(first, ["h1", "h2"]).where("doc_id is null or doc_id > first")
+    # Written, so that the join reads plain exchanges and a hot line's key splits.
+    drop = runs.join(materialize(first, "first_holders"), ["h1", "h2"]).where("doc_id is null or doc_id > first")
     words = (drop.groupBy("doc_id", "th", F.shiftright("pos", 6).alias("word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits")))
     return words.groupBy("doc_id", "th").agg(
