@@ -84,31 +84,42 @@ def postings(docs: DataFrame, anchor: DataFrame, size: int = PHRASE) -> DataFram
 
 
 def _lookup(docs: DataFrame, phrases: DataFrame, size: int):
-    anchor = materialize(anchors(docs, phrases), "anchors")
+    """``(anchor, index, first, second)``: proposed starts by the first lists, as
+    narrow rows, and the second lists."""
+    anchor = materialize(anchors(docs, phrases).withColumn("pid", F.monotonically_increasing_id()), "anchors")
     index = postings(docs, anchor, size)
     start = F.col("pos") - F.col("off1")
-    first = index.where("around is not null").join(anchor, F.col("term") == F.col("term1")).select(
-        "doc_id", "th", "phrase", "k", "n", "term2", "off2", start.alias("start"), "lo", "around")
+    first = index.where("around is not null").join(small_side(anchor, 200), F.col("term") == F.col("term1")).select(
+        "doc_id", "th", "pid", "k", "n", "pos", "term2", "off2", start.alias("start"))
     second = index.select(F.col("term").alias("s_term"), F.col("doc_id").alias("s_id"), F.col("th").alias("s_th"),
                           F.col("pos").alias("s_pos"))
-    return first, second
+    return anchor, index, first, second
 
 
 def exact_matches(docs: DataFrame, phrases: DataFrame, size: int = PHRASE) -> DataFrame:
     """``doc_id, th, phrase, start, k``: every exact occurrence of a phrase."""
-    first, second = _lookup(docs, phrases, size)
+    anchor, index, first, second = _lookup(docs, phrases, size)
     both = first.where("start >= 0 and start + k <= n").join(
         second, (F.col("term2") == F.col("s_term")) & F.col("doc_id").eqNullSafe(F.col("s_id"))
         & (F.col("th") == F.col("s_th")) & (F.col("start") + F.col("off2") == F.col("s_pos")), "left_semi")
+    both = materialize(both.select("doc_id", "th", "pid", "start", F.col("pos").alias("b_pos")), "intersected")
+    both = both.join(small_side(anchor, 200).select("pid", "phrase", "k", "term1"), "pid").select(
+        F.col("doc_id").alias("b_id"), F.col("th").alias("b_th"), "phrase", "k", "term1", "start", "b_pos")
+    # Only the survivors meet the words around their posting.
+    words = small_side(both, 250)
+    found = index.where("around is not null").join(
+        words, (F.col("term") == F.col("term1")) & F.col("doc_id").eqNullSafe(F.col("b_id"))
+        & (F.col("th") == F.col("b_th")) & (F.col("pos") == F.col("b_pos")))
     same = F.array_join(F.slice("around", F.col("start") - F.col("lo") + 1, F.col("k")), " ") == F.col("phrase")
-    return both.where(same).select("doc_id", "th", "phrase", "start", "k").distinct()
+    return found.where(same).select("doc_id", "th", "phrase", "start", "k").distinct()
 
 
 def proximity_matches(docs: DataFrame, phrases: DataFrame, slack: int = 3, size: int = PHRASE) -> DataFrame:
     """``doc_id, th, phrase, start``: places where the two rarest terms of a
     phrase stand within ``slack`` words of their distance in it."""
-    first, second = _lookup(docs, phrases, size)
-    near = first.select("doc_id", "th", "phrase", "start", "term2", F.explode(F.sequence(
+    anchor, _, first, second = _lookup(docs, phrases, size)
+    near = first.join(small_side(anchor, 200).select("pid", "phrase"), "pid").select(
+        "doc_id", "th", "phrase", "start", "term2", F.explode(F.sequence(
         F.col("start") + F.col("off2") - slack, F.col("start") + F.col("off2") + slack)).alias("at"))
     return near.join(second, (F.col("term2") == F.col("s_term")) & F.col("doc_id").eqNullSafe(F.col("s_id"))
                      & (F.col("th") == F.col("s_th")) & (F.col("at") == F.col("s_pos")), "left_semi").select(
