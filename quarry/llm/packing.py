@@ -45,11 +45,29 @@ class ChunkIds(dict):
     space.  The tokenizer folds white space, lower-cases and splits without
     looking past white space, so chunks stand for themselves."""
 
-    LIMIT = 400_000
+    LIMIT = 700_000
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
+        vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+        #: Whether a token id ends a word.
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def learn(self, chunks: set[str]) -> None:
+        """Words that ``chunks`` need, encoded in one call: a word of letters is
+        one pre-token, and its last token is marked as a word's end."""
+        words = set()
+        for c in chunks:
+            low = c.lower() if c.isascii() else c
+            words.add(low[:-1] if low[-1] in ",." and len(low) > 1 else low)
+        words = [w for w in words if len(w) <= 40 and w.isalpha() and w not in self]
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        last = np.flatnonzero(self.ends[ids]) + 1
+        if len(last) == len(words):
+            raw, at = ids.tobytes(), [0, *(4 * last).tolist()]
+            self.update(zip(words, [raw[a:b] for a, b in zip(at, at[1:])]))
 
     def __missing__(self, chunk: str) -> bytes:
         low = chunk.lower() if chunk.isascii() else chunk
@@ -60,11 +78,21 @@ class ChunkIds(dict):
         else:
             out = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
         if len(chunk) <= 40:
-            if len(self) >= self.LIMIT:
-                self.clear()
             self[chunk] = out
         return out
 
+    def join(self, text: str) -> bytes:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        chunks = text.split()
+        got = list(map(self.get, chunks))
+        if None in got:
+            missing = {c for c, v in zip(chunks, got) if v is None}
+            if len(missing) > 1:
+                self.learn(missing)
+            got = map(self.__getitem__, chunks)
+        return b"".join(got)
+
 
 #: Characters for which chunks are not safe: separators that str.split and the
 #: tokenizer may not agree on.  Texts with these, with characters from the
@@ -87,7 +115,7 @@ def chunk_ids(path: str) -> ChunkIds:
 def text_ids(text: str, cache: ChunkIds) -> bytes:
     if "<|" in text or (not text.isascii() and max(text) >= "̀") or not UNSAFE.isdisjoint(text):
         return np.array(cache.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-    return b"".join(map(cache.__getitem__, text.split()))
+    return cache.join(text)
 
 
 def _pieces(path: str, limit: int, end: int):
