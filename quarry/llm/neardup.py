@@ -10,19 +10,20 @@ document per class goes on.
 * A node that is too large to compare branches again by ``BRANCHES`` further
   minwise values chosen from the node's own path (a similar pair stays together
   in at least one child with probability ``1 - (1 - s)^BRANCHES``), down to
-  ``DEPTH`` levels.  Nodes still too large after that are compared in blocks, so
-  no pair of a node is ever given up.
+  ``DEPTH`` levels.  Nodes still too large after that are compared block against
+  block on the full sets, so no pair of a node is ever given up.
 * In a large node of copies most pairs say nothing new.  So first every member
-  of every root node is compared with the node's smallest member; the confirmed
-  links give components, and from then on only pairs from different components
+  of every root node is compared with the node's head, the member that shares
+  most nodes' worth of values with others; the confirmed links give components, and from then on only pairs from different components
   are compared, and nodes inside one component are finished.
-* Comparing in a node uses set sizes and 128 one-byte minwise samples; what
+* Comparing in a small node uses set sizes and 128 one-byte minwise samples; what
   could reach the similarity is confirmed on the full sets of 64-bit shingle
-  hashes.
+  hashes.  Blocks count all their intersections at once, as the product of the
+  incidence matrix of shingles that occur twice with its transpose.
 
 At similarity 0.75 a pair is missed by all ten trees with a probability of about
-1e-6 in small nodes and 4e-6 at full depth; the sampled comparison asks for 0.5
-only, more than five standard deviations below 0.75.
+1e-6 in small nodes and 2e-6 at full depth; the sampled comparison asks for no
+more than five standard deviations below 0.75.
 
 Defined results: a document without words, or with a null text, has an empty set
 and is linked with nothing.  Rows that share a ``doc_id`` are one document: their
@@ -42,11 +43,13 @@ from pyspark.sql import functions as F
 from quarry.llm.common import materialize, ship_package, small_side
 from quarry.llm.graph import connected_components
 
-TREES, EXTRA, BRANCHES, DEPTH = 10, 14, 3, 4
-NODE_LIMIT, BLOCK = 32, 64
+TREES, EXTRA, BRANCHES, DEPTH = 10, 14, 3, 2
+#: Members of a small node; members and shingles of a block of a large one.
+NODE_LIMIT, BLOCK, BLOCK_SHINGLES = 64, 512, 250_000
 BINS = 128
 SHINGLE, PERCENT = 5, 75
-SAMPLE_FLOOR = 0.5
+#: A sample may fall short of the similarity by so many standard deviations.
+DEVIATIONS = 5
 
 PROFILE = "doc_id long, n_shingles long, sig binary, mins array<long>, sample binary"
 
@@ -145,7 +148,8 @@ def may_link(n1, n2, s1: np.ndarray, s2: np.ndarray) -> np.ndarray:
     sizes = 100 * np.minimum(n1, n2) >= PERCENT * np.maximum(n1, n2)
     used = ((s1 | s2) != 0).sum(axis=-1)
     same = ((s1 == s2) & (s1 != 0)).sum(axis=-1)
-    return sizes & (same >= SAMPLE_FLOOR * used)
+    p = PERCENT / 100
+    return sizes & (same >= p * used - DEVIATIONS * np.sqrt(p * (1 - p) * used))
 
 
 def _samples(column) -> np.ndarray:
@@ -159,9 +163,32 @@ def _sampled_pairs(batches):
         yield pa.RecordBatch.from_arrays([c["a"].filter(pa.array(ok)), c["b"].filter(pa.array(ok))], names=["a", "b"])
 
 
+def _block_links(t: pa.Table) -> pa.Table:
+    """Links between different components inside one pair of blocks."""
+    ids, label = t.column("cid").to_numpy(), t.column("label").to_numpy()
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("set")]
+    size = np.array([len(s) for s in sets])
+    _, inverse, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), size)
+    shared = count[inverse] > 1
+    column = np.cumsum(count > 1)[inverse[shared]] - 1
+    row = row[shared]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, 8192):
+        a, b = np.searchsorted(column, [lo, lo + 8192])
+        m = np.zeros((len(sets), 8192), np.float32)
+        m[row[a:b], column[a:b] - lo] = 1
+        both += m @ m.T
+    link = 100 * both >= PERCENT * (size[:, None] + size[None, :] - both)
+    i, j = np.nonzero(np.triu(link & (label[:, None] != label[None, :]), 1))
+    return pa.table({"a": np.minimum(ids[i], ids[j]), "b": np.maximum(ids[i], ids[j])})
+
+
 def _node_pairs(batches):
-    """All pairs of a small node, or of two blocks, that lie in different
-    components and may be linked."""
+    """All pairs of a small node that lie in different components and may be
+    linked."""
     for b in batches:
         left, right = [], []
         for node in b.column(0).to_pylist():
@@ -244,14 +271,22 @@ def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = materialize(rows, "nodes")
 
     def shared(rows: DataFrame) -> DataFrame:
-        nodes = rows.groupBy("node").agg(F.count("*").alias("members"), F.min("cid").alias("head")).where("members > 1")
+        nodes = rows.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
         # Written, so that the join's sides are plain exchanges and a hot node splits.
         return materialize(rows.join(materialize(nodes, "node_sizes"), "node"), "shared_nodes")
 
     cur = shared(rows)
     repeated = bool(live.groupBy("doc_id", "sig").count().where("count > 1").head(1))
     sets = _Sets(docs, repeated)
-    star = cur.where("cid <> head").select(F.col("head").alias("a"), F.col("cid").alias("b")).distinct()
+    # The original of a group of copies carries the values most of them share, so
+    # it sits in the group's largest node of every tree: the heaviest member heads
+    # a node, and its copies link to it even where they do not link to each other.
+    weight = materialize(cur.groupBy("cid").agg(F.sum("members").alias("weight")), "weights")
+    heads = cur.select("node", "cid").join(weight, "cid").groupBy("node").agg(
+        F.max(F.struct("weight", (-F.col("cid")).alias("low"))).alias("top")).select(
+        "node", (-F.col("top.low")).alias("head"))
+    star = cur.select("node", "cid").join(materialize(heads, "heads"), "node")
+    star = star.where("cid <> head").select(F.col("head").alias("a"), F.col("cid").alias("b")).distinct()
     star = star.join(light.withColumnsRenamed({"cid": "a", "n": "na", "sample": "sa"}), "a").join(
         light.withColumnsRenamed({"cid": "b", "n": "nb", "sample": "sb"}), "b")
     star = materialize(star.mapInArrow(_sampled_pairs, "a long, b long").distinct(), "star_pairs")
@@ -266,28 +301,22 @@ def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         mixed = materialize(mixed, "node_sizes")
         cur = materialize(cur.join(mixed, "node"), "mixed_nodes")
         last = level == DEPTH - 1
-        small = cur.where(F.col("members") <= NODE_LIMIT).withColumn("part", F.lit(0).cast("long"))
-        if last:
-            # What no path could split is compared block against block.
-            big = cur.where(F.col("members") > NODE_LIMIT).withColumn(
-                "blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
-            big = big.withColumn("x", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-            big = big.select("node", "cid", "label", "members", F.explode(F.transform(
-                F.sequence(F.lit(0), F.col("blocks") - 1), lambda y: (F.least(y, F.col("x")).cast("long") * F.lit(1 << 31)
-                                                                      + F.greatest(y, F.col("x"))) + 1)).alias("part"))
-            small = small.select("node", "cid", "label", "members", "part").unionByName(big)
-        member = small.join(light, "cid").groupBy("node", "part").agg(
+        small = cur.where(F.col("members") <= NODE_LIMIT)
+        large = cur.where(F.col("members") > NODE_LIMIT)
+        member = small.join(light, "cid").groupBy("node").agg(
             F.collect_list(F.struct("cid", "label", "n", "sample")).alias("m")).select("m")
         pairs = materialize(member.mapInArrow(_node_pairs, "a long, b long"), "node_pairs")
         found = pairs if found is None else found.union(pairs)
-        if last or not cur.where(F.col("members") > NODE_LIMIT).head(1):
+        if last or not large.head(1):
             break
         path = [F.lit(TREES) + F.pmod(F.xxhash64("node") + 5 * i, F.lit(EXTRA)).cast("int") for i in range(BRANCHES)]
-        deeper = cur.where(F.col("members") > NODE_LIMIT).select("node", "cid").join(reps.select("cid", "mins"), "cid")
+        deeper = large.select("node", "cid").join(reps.select("cid", "mins"), "cid")
         deeper = deeper.select("cid", F.explode(F.array(*[F.xxhash64("node", c, F.get("mins", c)) for c in path]))
                                .alias("node")).distinct()
         cur = shared(materialize(deeper, "nodes"))
     links = sets.confirm(materialize(found.where("a <> b").distinct(), "pairs"))
+    if large.head(1):
+        links = links.union(_blocks(large, light, sets))
     # Contract the first components and join the new links' ends.
     ends = _labels_of(_labels_of(links, labels, "a").withColumnRenamed("l_label", "la"), labels, "b").select(
         F.coalesce("la", "a").alias("a"), F.coalesce("l_label", "b").alias("b"))
@@ -300,6 +329,21 @@ def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return prof, materialize(labels, "labels")
 
 
+def _blocks(large: DataFrame, light: DataFrame, sets: _Sets) -> DataFrame:
+    """Links between components in nodes that no path could make small."""
+    known = sets.add(large.select(F.col("cid").alias("id")).distinct())
+    weighed = large.select("node", "cid", "label", "members").join(light.select("cid", "n"), "cid")
+    total = materialize(weighed.groupBy("node").agg(F.sum("n").alias("total")), "node_sizes")
+    blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("int")
+    dealt = weighed.join(total, "node").select("node", "cid", "label", blocks.alias("blocks")).withColumn(
+        "x", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    other = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda y: F.struct(
+        F.least(y, F.col("x")).alias("x1"), F.greatest(y, F.col("x")).alias("x2")))
+    parts = dealt.select("node", "cid", "label", F.inline(other)).join(
+        known.withColumnRenamed("id", "cid"), "cid")
+    return materialize(parts.groupBy("node", "x1", "x2").applyInArrow(_block_links, "a long, b long").distinct(), "links")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document."""
     prof, labels = components(docs)
