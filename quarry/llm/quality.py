@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import materialize, total, words_of
+from quarry.llm.common import materialize, small_side, total, with_text_hash, words_of
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 FEATURES = ["n_words", "mean_word", "symbol_share", "dup_line_share", "repeat_share", "upper_share",
@@ -237,11 +237,14 @@ def quality_rules(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """Rows of ``docs`` that the base rule and the learned list keep.
 
-    Learns from the statistics of the labelled documents, then filters in one
-    pass over the texts without a shuffle.
+    The texts are scored once; the rejected rows' keys are taken out of ``docs``,
+    without moving a text while their counted number allows a broadcast.
     """
-    stats = materialize(document_stats(docs.select("doc_id", "text")).select("doc_id", "_q.*"), "quality_stats")
+    stats = materialize(document_stats(with_text_hash(docs)).select("doc_id", "th", "_q.*"), "quality_stats")
     rules = learn_rules(labelled(stats, labels), **options)
-    keep = ~base_failed(F.col("n_words"), F.col("n_repeat_words")) & verdict(rules).isNull()
-    scored = document_stats(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text"))
-    return scored.select("row", "_q.*").where(keep).select("row.*")
+    kept = ~base_failed(F.col("n_words"), F.col("n_repeat_words")) & verdict(rules).isNull()
+    bad = materialize(stats.where(~kept).select(F.col("doc_id").alias("m_id"), F.col("th").alias("m_th")).distinct(),
+                      "rejected")
+    bad = small_side(bad, 24)
+    a = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id", F.xxhash64("text").alias("th"))
+    return a.join(bad, a["doc_id"].eqNullSafe(bad["m_id"]) & a["th"].eqNullSafe(bad["m_th"]), "left_anti").select("doc.*")

@@ -97,7 +97,9 @@ def test_quality_stats_and_rules(spark, edge):
         for r in got:
             assert r["base_failed"] == (r["n_words"] < 10 or 100 * r["n_repeat_words"] > 20 * r["n_words"])
             assert not (r["kept"] and r["base_failed"])
-    assert set(quality.keep_good(edge, labels).columns) == set(edge.columns)
+    kept = quality.keep_good(edge, labels)
+    want = quality.quality_rules(edge, labels).where("kept")
+    assert kept.columns == edge.columns and kept.count() == want.count()
 
 
 def test_decision_list_separates_labels(spark):
