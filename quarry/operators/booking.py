@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.scalar import case_label, money, substring0
 from quarry.operators.keys import surrogate_key
+from quarry.session import materialize
 
 SLOT_KEYS = ("doctor_id", "appointment_date", "time_slot")
 
@@ -51,9 +52,10 @@ def admit_bookings(requests: DataFrame, held: DataFrame, doctors: DataFrame, pat
         .join(taken, slot, "left")
         .fillna(False, subset=["_doc_ok", "_pat_ok", "_held"])
     )
-    # a single order column stays a plain min (hash aggregate); several need
-    # a struct, which Spark aggregates by sorting
-    order = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*[F.col(c) for c in order_by])
+    # written once: both branches below read it, and requests that tie in every
+    # order column keep their tie-break
+    r = materialize(r.withColumn("_tie", F.monotonically_increasing_id()), "joined_requests")
+    order = F.struct(*[F.col(c) for c in order_by], F.col("_tie"))
     valid = F.col("_doc_ok") & ~F.col("_held") & F.col("_pat_ok")
     winners = r.filter(valid).groupBy(*slot).agg(F.min(order).alias("_first"))
     decided = r.join(winners, slot, "left").withColumn(
@@ -78,7 +80,9 @@ def confirmed_appointments(decided: DataFrame, id_col: str = "request_id") -> Da
 def issue_invoices(appointments: DataFrame, doctors: DataFrame, start: int | Column = 1) -> DataFrame:
     """One Unpaid bill per admitted appointment, amount = the doctor's
     fee; consecutive ``billing_id`` in appointment order."""
-    billed = appointments.join(doctors.select("doctor_id", "consultation_fee"), "doctor_id", "inner").select(
+    # one fee per doctor: a repeated doctor row must not bill twice
+    fees = doctors.groupBy("doctor_id").agg(F.min("consultation_fee").alias("consultation_fee"))
+    billed = appointments.join(fees, "doctor_id", "inner").select(
         "appointment_id",
         F.col("consultation_fee").cast("double").alias("amount_due"),
         F.lit("Unpaid").alias("payment_status"),

@@ -14,6 +14,7 @@ whole history every micro-batch.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,8 +39,10 @@ def _accepted_before(spark: SparkSession, out_dir: str, batch_id: int, slots: Da
     try:
         # explicit schema: partition values stay text (no date inference)
         prev = spark.read.schema(_ACCEPTED_SCHEMA).parquet(f"{out_dir}/accepted")
-    except Exception:  # noqa: BLE001 - nothing accepted yet
-        return None
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None  # nothing accepted yet; any other failure ends the batch
     prev = prev.filter(F.col("batch_id") < batch_id)
     keys = [*SLOT_KEYS, "appointment_month"]
     return prev.join(slots.withColumn("appointment_month", _month()), keys, "left_semi").select(
