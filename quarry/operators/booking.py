@@ -116,9 +116,11 @@ def booking_board(appointments: DataFrame, patients: DataFrame, doctors: DataFra
 
 
 def doctor_cards(doctors: DataFrame) -> DataFrame:
-    """The doctor catalogue rows behind the cards: avatar letters and fee text."""
+    """The doctor catalogue rows behind the cards: avatar letters and fee text,
+    with specialty and experience where the catalogue has them."""
+    extra = [c for c in ("specialty", "experience") if c in doctors.columns]
     return doctors.select(
-        "doctor_id", "name",
+        "doctor_id", "name", *extra,
         substring0(F.col("name"), 4, 6).alias("avatar"),
         money(F.col("consultation_fee")).alias("fee_text"),
     )

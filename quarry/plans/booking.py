@@ -12,7 +12,7 @@ from quarry.plans.registry import query
 from quarry.session import materialize
 from quarry.spec import APPOINTMENTS, DOCTOR_SAMPLE_ROWS
 
-_ADMIT_SQL = """,
+ADMIT_SQL = """,
 doc_ok AS (SELECT DISTINCT doctor_id FROM doc),
 pat_ok AS (SELECT DISTINCT patient_id FROM pat),
 taken AS (SELECT DISTINCT doctor_id, appointment_date, time_slot FROM held WHERE status <> 'Cancelled'),
@@ -53,19 +53,19 @@ def _decided(spark, sf_dir):
     return bk.admit_bookings(fx.requests(t), fx.held(t), fx.doctors(t), fx.patients(t)), t
 
 
-@query("admit_bookings", sql="WITH " + fx.BOOKING_SQL + _ADMIT_SQL + "SELECT * FROM decided")
+@query("admit_bookings", sql="WITH " + fx.BOOKING_SQL + ADMIT_SQL + "SELECT * FROM decided")
 def admit_bookings(spark, sf_dir):
     decided, _ = _decided(spark, sf_dir)
     return decided
 
 
-@query("issue_invoices", sql="WITH " + fx.BOOKING_SQL + _ADMIT_SQL + "SELECT * FROM bills")
+@query("issue_invoices", sql="WITH " + fx.BOOKING_SQL + ADMIT_SQL + "SELECT * FROM bills")
 def issue_invoices(spark, sf_dir):
     decided, t = _decided(spark, sf_dir)
     return bk.issue_invoices(bk.confirmed_appointments(decided), fx.doctors(t))
 
 
-BOARD_SQL = "WITH " + fx.BOOKING_SQL + _ADMIT_SQL + """
+BOARD_SQL = "WITH " + fx.BOOKING_SQL + ADMIT_SQL + """
 SELECT '#' || CAST(a.appointment_id AS VARCHAR) AS row_label,
        p.name AS patient_name, d.name AS doctor_name, substr(d.name, 5, 2) AS avatar,
        a.appointment_date, a.time_slot, a.status,
@@ -91,6 +91,14 @@ def booking_board_frame(spark, sf_dir):
 query("booking_board", sql=BOARD_SQL)(booking_board_frame)
 
 
+@query("doctor_cards", sql="WITH " + fx.BOOKING_SQL + """
+SELECT doctor_id, name, substr(name, 5, 2) AS avatar, '$' || printf('%.2f', consultation_fee) AS fee_text FROM doc
+""")
+def doctor_cards(spark, sf_dir):
+    """B5, second frame: one card per doctor."""
+    return bk.doctor_cards(fx.doctors(fx.Tables(spark, sf_dir)))
+
+
 @query("conflict_predicate", sql="WITH " + fx.BOOKING_SQL + """
 SELECT q.request_id, q.doctor_id, q.appointment_date, q.time_slot,
        CAST(count(h.appointment_id) AS BIGINT) AS n_conflicts

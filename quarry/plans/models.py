@@ -90,7 +90,7 @@ class Lab:
 
     def grid(self):
         if "_grid" not in self._models:
-            rf = mm.random_forest()
+            rf = mm.random_forest().setCacheNodeIds(True).setMaxMemoryInMB(1024)
             grid = {getattr(rf, k): v for k, v in GRID.items()}
             self._models["_grid"] = va.grid_search(rf, grid, self.train, parallelism=8)
         return self._models["_grid"]
@@ -226,7 +226,8 @@ def attribution_row(spark, sf_dir):
     """Base value and contributions of the first training row."""
     lb = lab(spark, sf_dir)
     first = lb.train.select(F.min("row_id")).scalar()
-    return at.attribution_row(lb.shap(), first)
+    one = at.tree_shap(lb.train.filter(F.col("row_id") == first), lb.model("attribution_forest"))
+    return at.attribution_row(at.shap_long(one, lb.names), first)
 
 
 # ------------------------------------------------------------ tuning --------

@@ -159,13 +159,13 @@ s AS (SELECT count(*) AS n, stddev_samp(v) AS sd, min(v) AS lo, max(v) AS hi FRO
 b AS (SELECT *, sd * pow(n, -1.0 / 5.0) AS bw FROM s),
 gr AS (SELECT *, lo - bw * 3.0 AS gmin, hi + bw * 3.0 AS gmax FROM b),
 g AS (SELECT CAST(i AS INTEGER) AS grid_index,
-             CASE WHEN i = 19 THEN gmax ELSE i * ((gmax - gmin) / 19) + gmin END AS gx, bw, n FROM gr, range(20) r(i))
+             CASE WHEN i = 199 THEN gmax ELSE i * ((gmax - gmin) / 199) + gmin END AS gx, bw, n FROM gr, range(200) r(i))
 SELECT grid_index, round(gx, 6) AS x,
        round(sum(exp(-0.5 * pow((gx - v) / bw, 2))) * (1.0 / (n * bw * sqrt(2 * pi()))), 10) AS density
 FROM g, x GROUP BY grid_index, gx, bw, n""")
 def kde_curve(spark, sf_dir):
-    """KDE of events.value on a 20-point grid."""
-    k = pr.kde_curve(_t(spark, sf_dir)("events"), "value", gridsize=20)
+    """KDE of events.value on the operator's 200-point grid."""
+    k = pr.kde_curve(_t(spark, sf_dir)("events"), "value", gridsize=200)
     return k.select("grid_index", F.round("x", 6).alias("x"), F.round("density", 10).alias("density"))
 
 
@@ -193,6 +193,14 @@ def box_stats(spark, sf_dir):
     return _round(pr.box_stats(_t(spark, sf_dir)("events"), "value"), 6)
 
 
+@query("box_outliers", sql="""
+WITH q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events)
+SELECT events.* FROM events, q WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""")
+def box_outliers(spark, sf_dir):
+    """A13, second frame: the rows beyond the fences."""
+    return pr.box_outliers(_t(spark, sf_dir)("events"), "value")
+
+
 @query("box_stats_by_group", sql=_box_sql("event_type"))
 def box_stats_by_group(spark, sf_dir):
     """The same per event_type."""

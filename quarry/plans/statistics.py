@@ -160,7 +160,7 @@ def threshold_forecast(spark, sf_dir):
 
 ALERT_WIDTH, ALERT_THRESHOLD = "1 hour", 60.0
 
-_ALERTS_SQL = f"""a AS (
+ALERTS_SQL = f"""a AS (
   SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
          count(*) AS n, round(avg(value), 6) AS avg_value, avg(value) > {ALERT_THRESHOLD} AS alert
   FROM events GROUP BY 1)"""
@@ -170,13 +170,13 @@ def _alerts(spark, sf_dir):
     return mo.latency_alerts(_t(spark, sf_dir)("events"), "ts", "value", ALERT_WIDTH, ALERT_THRESHOLD)
 
 
-@query("latency_alerts", sql="WITH " + _ALERTS_SQL + "\nSELECT * FROM a")
+@query("latency_alerts", sql="WITH " + ALERTS_SQL + "\nSELECT * FROM a")
 def latency_alerts(spark, sf_dir):
     """T1 (batch): hourly average of events.value, alert above 60."""
     return _round(_alerts(spark, sf_dir), 6)
 
 
-@query("alert_escalation", sql="WITH " + _ALERTS_SQL + """,
+@query("alert_escalation", sql="WITH " + ALERTS_SQL + """,
 s AS (SELECT *, CASE WHEN window_start = lag(window_end) OVER (ORDER BY window_start) THEN 0 ELSE 1 END AS nw
       FROM a WHERE alert),
 r AS (SELECT *, sum(nw) OVER (ORDER BY window_start ROWS UNBOUNDED PRECEDING) AS run_id FROM s),

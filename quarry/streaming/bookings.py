@@ -55,13 +55,16 @@ def booking_batch_writer(held: DataFrame, doctors: DataFrame, patients: DataFram
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         slots = batch.select(*SLOT_KEYS).distinct()
-        taken = held.select("appointment_id", "patient_id", "doctor_id", "appointment_date", "time_slot", "status")
+        taken = held.join(slots, list(SLOT_KEYS), "left_semi").select(
+            "appointment_id", "patient_id", "doctor_id", "appointment_date", "time_slot", "status")
         before = _accepted_before(spark, out_dir, batch_id, slots)
         if before is not None:
             taken = taken.unionByName(before)
         # decide once; the accepted table is derived from the written decisions
         path = f"{out_dir}/decisions/batch_id={batch_id}"
-        admit_bookings(batch, taken, doctors, patients).write.mode("overwrite").parquet(path)
+        known_doctors = doctors.join(batch.select("doctor_id").distinct(), "doctor_id", "left_semi")
+        known_patients = patients.join(batch.select("patient_id").distinct(), "patient_id", "left_semi")
+        admit_bookings(batch, taken, known_doctors, known_patients).write.mode("overwrite").parquet(path)
         decided = spark.read.parquet(path)
         (decided.filter(F.col("outcome") == OUTCOME_CONFIRMED)
          .select(F.col("request_id").alias("appointment_id"), "patient_id", "doctor_id", "time_slot",
@@ -74,7 +77,7 @@ def booking_batch_writer(held: DataFrame, doctors: DataFrame, patients: DataFram
 
 def start_booking_stream(spark: SparkSession, requests_dir: str, schema: T.StructType, held: DataFrame,
                          doctors: DataFrame, patients: DataFrame, out_dir: str, checkpoint_dir: str,
-                         max_files_per_trigger: int | None = 1) -> StreamingQuery:
+                         max_files_per_trigger: int | None = None) -> StreamingQuery:
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -7,8 +7,10 @@ from quarry.ml import attribute as at
 from quarry.ml import features as mf
 from quarry.ml import models as mm
 from quarry.ml import stack as sk
+from quarry.ml.scenario import what_if
 from quarry.operators import booking as bk
 from quarry.operators.monitor import alert_escalation, latency_alerts
+from quarry.plans import QUERIES
 from quarry.plans import fixtures as fx
 from quarry.session import scratch_path
 from quarry.streaming import alerts as sa
@@ -74,6 +76,25 @@ def test_alert_stream_equals_batch(spark):
     assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
 
 
+def test_registered_alert_stream_returns_every_window(spark):
+    got = QUERIES["latency_alerts_stream"](spark, SF)
+    batch = QUERIES["latency_alerts"](spark, SF).select(*got.columns)
+    assert got.agg(F.sum("n")).first()[0] == fx.Tables(spark, SF)("events").count()
+    assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
+
+
+def test_what_if_scores_like_separate_scoring(spark):
+    rows = spark.range(200).select(F.col("id").alias("row_id"), (F.col("id") % 7).cast("double").alias("x"),
+                                   (F.col("id") % 5).cast("double").alias("z"))
+    train = VectorAssembler(inputCols=["x", "z"], outputCol="features").transform(
+        rows.withColumn("label", F.col("x") * 2 + F.col("z")))
+    model = mm.ols().fit(train)
+    got = what_if(model, rows, ["x", "z"], "x", [1.0, 3.0])
+    assert got.count() == 400 and "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    bad = got.filter(F.abs(F.col("delta") - 2 * (F.col("scenario_value") - F.col("original_value"))) > 1e-6)
+    assert bad.count() == 0
+
+
 def test_alert_escalation_positions(spark):
     import datetime as dt
 
@@ -97,7 +118,8 @@ def test_booking_stream_equals_batch_in_arrival_order(spark, chunks):
         part = req.filter((F.col("request_id") >= lo) & ((F.col("request_id") < hi) | F.lit(i == chunks - 1)))
         part.coalesce(1).write.mode("append").parquet(src)
     out, ckpt = scratch_path(spark, "test_booking_out"), scratch_path(spark, "test_booking_ckpt")
-    q = sb.start_booking_stream(spark, src, req.schema, fx.held(t), fx.doctors(t), fx.patients(t), out, ckpt)
+    q = sb.start_booking_stream(spark, src, req.schema, fx.held(t), fx.doctors(t), fx.patients(t), out, ckpt,
+                                max_files_per_trigger=1)
     q.awaitTermination()
     streamed = sb.read_decisions(spark, out)
     assert streamed.select("batch_id").distinct().count() == chunks

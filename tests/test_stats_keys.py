@@ -20,6 +20,12 @@ def test_ttest_matches_pooled_formula(spark):
     assert math.isclose(r.t_stat, t) and r.df == 7
 
 
+def test_no_statistic_gives_no_label(spark):
+    tests = spark.createDataFrame([(None, 5.0), (2.0, 5.0)], "t_stat double, df double")
+    none, some = sorted(st.with_p_value(tests).collect(), key=lambda r: r.t_stat is not None)
+    assert none.p_value is None and none.result is None and some.result == "REJECTED"
+
+
 def test_t_p_values_known():
     # two-sided Student-t tail probabilities
     assert math.isclose(st.t_two_sided_p(2.0, 10), 0.07338803, rel_tol=1e-6)
