@@ -39,6 +39,8 @@ WINDOW, RUN = 35, 6
 BUCKET = 2000
 WORD_BYTES = 6
 CHUNK_ROWS = 30_000
+#: Words whose windows are hashed at a time, so that the arrays stay in cache.
+PIECE = 16_384
 SUPER = "g long, doc_id long, th long, start int, windows int, packed binary"
 SPAN = "doc_id long, th long, start int, stop int"
 
@@ -58,13 +60,17 @@ def super_kmers(h: np.ndarray, window: int = WINDOW, run: int = RUN):
         for j in range(run):
             g = g * np.uint64(0x9E3779B97F4A7C15) + h[j:len(h) - run + 1 + j]
         g = mix(g)
-    wide = window - run + 1
-    count = len(h) - window + 1
-    at = np.empty(count, np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(g, wide)
-    for i in range(0, count, 8192):
-        at[i:i + 8192] = view[i:i + 8192].argmin(axis=1)
-    at += np.arange(count)
+    # The order is by the upper 32 bits of a run's hash, then by position, so that
+    # equal windows choose the same run; the bucket is the whole hash.
+    key = (g & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(g), dtype=np.uint64)
+    wide, span = window - run + 1, 1
+    while 2 * span <= wide:
+        key = np.minimum(key[:-span], key[span:])
+        span *= 2
+    if span < wide:
+        key = np.minimum(key[:span - wide], key[wide - span:])
+    at = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    count = len(at)
     first = np.flatnonzero(np.diff(at, prepend=-1))
     return g[at[first]], first, np.diff(first, append=count)
 
@@ -106,6 +112,27 @@ def _super_batch(out, names):
          pa.array(cat[1].astype(np.int32)), pa.array(cat[2].astype(np.int32)), pa.array(out[5], pa.binary())], names=names)
 
 
+def _run_hashes(v: np.ndarray, odd: np.uint64) -> np.ndarray:
+    """Hashes of all runs of ``WINDOW`` of ``v``: runs of 1, 2, 4, ... words are
+    joined in pairs, and those of the window's binary digits in a row."""
+    def joined(a, b):
+        x = (a ^ (a >> np.uint64(29))) * odd + b
+        return x ^ (x >> np.uint64(31))
+
+    n = len(v) - WINDOW + 1
+    with np.errstate(over="ignore"):
+        power, span, out, done = mix(v * odd), 1, None, 0
+        while span <= WINDOW:
+            if WINDOW & span:
+                part = power[done:done + n]
+                out = part if out is None else joined(out, part)
+                done += span
+            if 2 * span <= WINDOW:
+                power = joined(power[:-span], power[span:])
+            span *= 2
+        return mix(out)
+
+
 def window_hashes(packed, counts: np.ndarray):
     """128-bit hashes of all windows of packed super-k-mers, and their rows."""
     raw = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, WORD_BYTES)
@@ -116,16 +143,12 @@ def window_hashes(packed, counts: np.ndarray):
     row = np.repeat(np.arange(len(counts)), counts)
     nth = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
     at = np.repeat(np.cumsum(sizes) - sizes, counts) + nth
-    n = len(v) - WINDOW + 1
     out = []
-    with np.errstate(over="ignore"):
-        for odd in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03):
-            x = np.zeros(max(n, 0), np.uint64)
-            for j in range(WINDOW):
-                x *= np.uint64(odd)
-                x += v[j:j + n]
-                x ^= x >> np.uint64(31)
-            out.append(mix(x)[at] if len(at) else np.empty(0, np.uint64))
+    for odd in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03):
+        x = np.empty(max(len(v) - WINDOW + 1, 0), np.uint64)
+        for i in range(0, len(x), PIECE):
+            x[i:i + PIECE] = _run_hashes(v[i:i + PIECE + WINDOW - 1], np.uint64(odd))
+        out.append(x[at])
     return out[0], out[1], row, nth
 
 
