@@ -12,8 +12,10 @@ they meet in one bucket, always from different super-k-mers.
   broadcast bound; beyond it every super-k-mer travels.
 * A bucket of up to ``BUCKET`` super-k-mers is sorted by the 128-bit hashes of
   its windows, where equal neighbours are repeats.
-* A larger bucket (a passage that very many documents share) is cut into
-  windows, counted by a grouped aggregate with map-side sums.
+* A larger bucket (a passage that very many documents share) first counts its
+  equal super-k-mers, whose windows are all repeated.  One of each kind is cut
+  into windows, counted by a grouped aggregate with map-side sums; the repeated
+  ones are looked up for the super-k-mers that occur once.
 
 Words are compared as 48-bit hashes in the packed strings: two windows that
 differ are taken for equal with a probability below 1e-14.
@@ -204,7 +206,8 @@ def _cut_windows(batches):
         at = b.column("start").to_numpy()[row] + nth
         yield pa.RecordBatch.from_arrays(
             [pa.array(x.view(np.int64)), pa.array(y.view(np.int64)), b.column("doc_id").take(pa.array(row)),
-             b.column("th").take(pa.array(row)), pa.array(at.astype(np.int32))], names=["x", "y", "doc_id", "th", "start"])
+             b.column("th").take(pa.array(row)), pa.array(at.astype(np.int32)), b.column("single").take(pa.array(row))],
+            names=["x", "y", "doc_id", "th", "start", "single"])
 
 
 def _kept(batches):
@@ -235,11 +238,17 @@ def repeated_spans(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     travel = materialize(travel, "super_kmers")
     small = travel.where(F.col("n") <= bucket).drop("n").repartition("g").sortWithinPartitions("g")
     spans = small.mapInArrow(_sorted_buckets, SPAN)
-    cut = travel.where(F.col("n") > bucket).drop("n")
-    windows = materialize(cut.mapInArrow(_cut_windows, "x long, y long, doc_id long, th long, start int"), "windows")
+    cut = travel.where(F.col("n") > bucket).select(F.md5("packed").alias("same"), "doc_id", "th", "start", "windows", "packed")
+    alike = materialize(cut.groupBy("same").agg(
+        F.count("*").alias("copies"), F.first(F.struct("doc_id", "th", "start", "windows", "packed")).alias("one")), "alike")
+    copied = materialize(alike.where("copies > 1").select("same"), "copied")  # a hot key's join can then be split
+    spans = spans.union(cut.drop("packed").join(copied, "same").select(
+        "doc_id", "th", "start", (F.col("start") + F.col("windows") + (WINDOW - 1)).alias("stop")))
+    windows = materialize(alike.select("one.*", (F.col("copies") == 1).alias("single")).mapInArrow(
+        _cut_windows, "x long, y long, doc_id long, th long, start int, single boolean"), "windows")
     twice = windows.groupBy("x", "y").agg(F.count("*").alias("n")).where("n > 1").select("x", "y")
-    twice = materialize(twice, "repeated_windows")  # a hot window's join can then be split
-    spans = spans.union(windows.join(twice, ["x", "y"]).select(
+    twice = materialize(twice, "repeated_windows")
+    spans = spans.union(windows.where("single").join(twice, ["x", "y"]).select(
         "doc_id", "th", "start", (F.col("start") + WINDOW).alias("stop")))
     return spans.distinct().groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
