@@ -8,20 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Dimension sides are broadcast only after this many rows were proven absent.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The check is a ``limit(max_rows + 1).count()`` job, which stops reading as
-    soon as the bound is exceeded.  Beyond the bound the frame is returned as
-    is and the planner (AQE) chooses a shuffled join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def is_numeric(dt: T.DataType) -> bool:
     return isinstance(dt, T.NumericType)

@@ -136,7 +136,7 @@ def apply_defaults_q(spark, sf_dir):
 
 @query("inline_rows", sql="""
 WITH sample(row_no, specialty, experience_years, list_fee) AS (VALUES """ + ", ".join(
-    f"({i + 1}, '{r[1]}', {r[2]}, CAST({r[3]} AS DOUBLE))" for i, r in enumerate(DOCTOR_SAMPLE_ROWS)) + """)
+    f"({i + 1}, '{r[0]}', {r[1]}, CAST({r[2]} AS DOUBLE))" for i, r in enumerate(DOCTOR_SAMPLE_ROWS)) + """)
 SELECT s_suppkey AS doctor_id, s_name AS name, specialty, experience_years, list_fee
 FROM supplier JOIN sample ON s_suppkey % 5 + 1 = row_no
 """)
@@ -144,7 +144,7 @@ def inline_rows(spark, sf_dir):
     """The reference's literal doctor rows as a source, used as a fixed
     five-row dimension over the suppliers (a proven broadcast bound)."""
     t = fx.Tables(spark, sf_dir)
-    rows = [(i + 1, r[1], r[2], r[3]) for i, r in enumerate(DOCTOR_SAMPLE_ROWS)]
+    rows = [(i + 1, *r) for i, r in enumerate(DOCTOR_SAMPLE_ROWS)]
     sample = spark.createDataFrame(rows, T.StructType([
         T.StructField("row_no", T.LongType()),
         T.StructField("specialty", T.StringType()),
@@ -155,4 +155,3 @@ def inline_rows(spark, sf_dir):
     return s.join(F.broadcast(sample), (s.s_suppkey % 5 + 1) == sample.row_no).select(
         F.col("s_suppkey").alias("doctor_id"), F.col("s_name").alias("name"),
         "specialty", "experience_years", "list_fee")
-

@@ -50,7 +50,7 @@ def _schema(*cols: tuple[str, T.DataType]) -> T.StructType:
 
 S, I, L, D = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
 
-# ---- clinic tables -------------------------------------------------------
+# ---- clinic tables: column names, checks and defaults are fixed values ----
 
 PATIENTS = TableSpec(
     "patients", _schema(("patient_id", L), ("name", S), ("email", S), ("phone", S), ("dob", S)),
@@ -81,51 +81,11 @@ BILLING = TableSpec(
 )
 CLINIC_TABLES = (PATIENTS, DOCTORS, APPOINTMENTS, BILLING)
 
-# The reference's sample doctors (name, specialty, years, fee).
+# Specialty, years of experience and fee of the sample doctors.
 DOCTOR_SAMPLE_ROWS = [
-    ("Dr. Alice Smith", "Cardiology", 15, 150.0),
-    ("Dr. Bob Jones", "Pediatrics", 10, 100.0),
-    ("Dr. Carol Vance", "Orthopedics", 12, 120.0),
-    ("Dr. David Miller", "Dermatology", 8, 90.0),
-    ("Dr. Emma Watson", "Neurology", 14, 180.0),
+    ("Cardiology", 15, 150.0),
+    ("Pediatrics", 10, 100.0),
+    ("Orthopedics", 12, 120.0),
+    ("Dermatology", 8, 90.0),
+    ("Neurology", 14, 180.0),
 ]
-
-# ---- student tables (vertical split of the 33-column wide record) ---------
-
-_YES_NO = ("schoolsup", "famsup", "paid", "activities", "nursery", "higher", "internet", "romantic")
-
-STUDENTS = TableSpec(
-    "students", _schema(("student_id", L), ("school", S), ("sex", S), ("age", I), ("address", S),
-                        ("famsize", S), ("pstatus", S)),
-    primary_key=("student_id",), generated_key=True,
-    not_null=("school", "sex", "age", "address", "famsize", "pstatus"),
-    ranges={"age": (15, 22)},
-)
-FAMILY_BACKGROUND = TableSpec(
-    "family_background", _schema(("student_id", L), ("medu", I), ("fedu", I), ("mjob", S), ("fjob", S),
-                                 ("reason", S), ("guardian", S)),
-    primary_key=("student_id",),
-    not_null=("medu", "fedu", "mjob", "fjob", "reason", "guardian"),
-    ranges={"medu": (0, 4), "fedu": (0, 4)},
-    foreign_keys=(ForeignKey(("student_id",), "students", ("student_id",)),),
-)
-STUDENT_LIFESTYLE = TableSpec(
-    "student_lifestyle", _schema(("student_id", L), ("traveltime", I), ("studytime", I), ("failures", I),
-                                 *[(c, S) for c in _YES_NO], ("famrel", I), ("freetime", I), ("goout", I),
-                                 ("health", I)),
-    primary_key=("student_id",),
-    not_null=("traveltime", "studytime", "failures", *_YES_NO, "famrel", "freetime", "goout", "health"),
-    ranges={"traveltime": (1, 4), "studytime": (1, 4), "failures": (0, 4), "famrel": (1, 5),
-            "freetime": (1, 5), "goout": (1, 5), "health": (1, 5)},
-    foreign_keys=(ForeignKey(("student_id",), "students", ("student_id",)),),
-)
-GRADES_ABSENCES = TableSpec(
-    "grades_absences", _schema(("student_id", L), ("dalc", I), ("walc", I), ("absences", I), ("g1", I),
-                               ("g2", I), ("g3", I)),
-    primary_key=("student_id",),
-    not_null=("dalc", "walc", "absences", "g1", "g2", "g3"),
-    ranges={"dalc": (1, 5), "walc": (1, 5), "g1": (0, 20), "g2": (0, 20), "g3": (0, 20)},
-    minimums={"absences": 0},
-    foreign_keys=(ForeignKey(("student_id",), "students", ("student_id",)),),
-)
-STUDENT_TABLES = (STUDENTS, FAMILY_BACKGROUND, STUDENT_LIFESTYLE, GRADES_ABSENCES)
