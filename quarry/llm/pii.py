@@ -1,25 +1,36 @@
 """Personal data: base patterns, and bootstrapped contextual extraction.
 
-Base matches of the four kinds are the seed entities.  Every mention of an
-identifier-like token (a word with at least three digits) that no seed covers is
-a candidate.  The words beside seeds and candidates are lexical patterns: the two
-words before, the two after, and the word on either side.  Patterns and instances
-form a bipartite graph with one edge per distinct pair.  In each round a pattern's
-confidence for a kind is the weight of that kind among all its instances
-(smoothed, and only with enough different instances behind it), and an instance
-is believed as far as its accepted patterns leave doubt (noisy or); instances
-believed enough count in the next round.  Mentions of candidates believed at the
-end become added spans.  Base spans always stay.
-
-Everything runs on built-in functions.  The texts are read once; afterwards only
-mentions travel, and the graph's scores are grouped sums.
+Base matches of the four kinds are the seed entities.  A text is read as its
+words, without punctuation at their ends, where a base match (or several that
+overlap) stands as one unit.  The lexical patterns of a unit are the two words
+before it, the two after it, and the word on either side, the same way for seeds
+and candidates.  Whatever stands in a pattern is a candidate for it: any word, and
+of words with digits and no letters also runs of up to ``RUN`` (identifiers written
+with spaces).  Beside a one-sided pattern a run of bare digit groups counts whole;
+between two words each run counts that fills the gap.
+
+Patterns and instances form a bipartite graph with one edge per distinct pair.  In
+each round a pattern's confidence for a kind is the weight of that kind among all
+its instances (smoothed, and only with enough different instances behind it), and
+an instance is believed as far as its accepted patterns leave doubt (noisy or);
+instances believed enough count in the next round, with all places they stand in.
+Rounds end when one accepts no new instance.  Mentions of candidates believed at
+the end become added spans; of words of letters alone only the mentions in an
+accepted pattern, as the same word elsewhere is just a word.  Of overlapping
+mentions the most believed stays, then the longer, then the first.  Base spans
+always stay.
+
+Everything runs on built-in functions.  The edges of all words are never laid out:
+a round looks through the texts for what stands in the patterns that have got enough
+instances since the last one, and for the instances accepted since then.
 
 The patterns match what the plain forms match: possessive quantifiers and the
 look-behind only remove retries inside a run that cannot succeed, so that a very
 long run of digits or letters costs linear time.
 
 Defined results: a null or empty text has no spans; repeated rows have the same
-spans each; rows need no ``doc_id``.
+spans each; rows need no ``doc_id``.  Rows are told apart, and patterns named, by
+64-bit hashes.
 """
 
 from __future__ import annotations
@@ -27,7 +38,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SPACE_RUN, ascii_lower, materialize
+from quarry.llm.common import SPACE_RUN, materialize, small_side
 
 KINDS = ["email", "ip", "card", "phone"]
 #: The base patterns.
@@ -36,10 +47,12 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "word": r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+",
 }
-CONTEXT = 48
+#: Most words of a spaced number: 15 digits in pairs, 19 in fours.
+RUN = 8
 EDGES = ".,;:!?()[]{}\"'"
+#: As an SQL literal.
+EDGES_SQL = "'" + EDGES.replace("'", "\\'") + "'"
 
 
 def _digits(c: Column) -> Column:
@@ -56,95 +69,170 @@ def valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def _mentions(kind: str) -> Column:
-    """Matches of a kind in ``t`` with the length of the gap before each and the
-    text on either side, as an array of structs."""
+def _matches(kind: str) -> Column:
+    """Matches of a kind in ``t`` with the length of the gap before each, as an
+    array of structs."""
     p = F.lit(PATTERNS[kind])
     got, gap = F.regexp_extract_all("t", p, F.lit(0)), F.split("t", PATTERNS[kind], -1)
-    out = F.transform(F.arrays_zip(got.alias("m"), gap.alias("g"), F.slice(gap, 2, F.size(gap)).alias("after")),
-                      lambda x, i: F.struct(
+    out = F.transform(F.arrays_zip(got.alias("m"), gap.alias("g")), lambda x, i: F.struct(
         F.lit(kind).alias("kind"), i.alias("nth"), F.char_length(x["g"]).alias("gap"),
-        F.char_length(x["m"]).alias("size"), x["m"].alias("m"), F.right(x["g"], F.lit(CONTEXT)).alias("left"),
-        F.left(x["after"], F.lit(CONTEXT)).alias("right")))
+        F.char_length(x["m"]).alias("size"), x["m"].alias("m")))
     out = F.filter(out, lambda x: x["m"].isNotNull())
     cue = {"email": F.contains("t", F.lit("@")), "phone": F.contains("t", F.lit("+"))}.get(kind, F.col("t").rlike("[0-9]"))
     return F.when(cue, out)
 
 
-def mentions(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(rows, mentions)``: the written rows ``row, doc_id``, and per match
-    ``row, kind, start, stop, m, left, right`` of valid base matches and of
-    candidate words that no base match overlaps."""
+def base_matches(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(rows, matches)``: the written rows ``row, th, doc_id``, and per valid base
+    match ``row, th, kind, start, stop, m``; ``th`` is of id and text."""
     t = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t"), F.monotonically_increasing_id().alias("row"))
-    empty = F.array().cast("array<struct<kind:string,nth:int,gap:int,size:int,m:string,left:string,right:string>>")
-    found = F.concat(*[F.coalesce(_mentions(k), empty) for k in [*KINDS, "word"]])
-    rows = materialize(t.select("row", "doc_id", found.alias("found")), "pii_rows")
-    each = rows.select("row", F.inline("found"))
+    empty = F.array().cast("array<struct<kind:string,nth:int,gap:int,size:int,m:string>>")
+    found = F.concat(*[F.coalesce(_matches(k), empty) for k in KINDS])
+    rows = materialize(t.select("row", F.xxhash64("doc_id", "t").alias("th"), "doc_id", found.alias("found")), "pii_rows")
+    each = rows.select("row", "th", F.inline("found"))
     so_far = Window.partitionBy("row", "kind").orderBy("nth")
-    each = each.repartition("row").withColumn("stop", F.sum(F.col("gap") + F.col("size")).over(so_far).cast("long"))
+    each = each.repartition("row").withColumn("stop", F.sum(F.col("gap") + F.col("size")).over(so_far).cast("int"))
     each = each.withColumn("start", F.col("stop") - F.col("size"))
     ok = F.lit(False)
     for k in KINDS:
         ok = ok | ((F.col("kind") == k) & valid(k, F.col("m")))
-    each = each.where((F.col("kind") == "word") | ok)
-    base = F.col("kind") != "word"
-    order = Window.partitionBy("row").orderBy("start", "stop", "kind")
-    before = F.max(F.when(base, F.col("stop"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.min(F.when(base, F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
-    each = each.withColumns({"before": before, "after": after})
-    free = (F.coalesce("before", F.lit(0)) <= F.col("start")) & (F.coalesce("after", F.col("stop")) >= F.col("stop"))
-    # A candidate is the word without punctuation at its ends.
-    lead = F.char_length("m") - F.char_length(F.ltrim("m", F.lit(EDGES)))
-    core = F.btrim("m", F.lit(EDGES))
-    enough = F.char_length(_digits(core)).between(3, 32) & (F.char_length(core) <= 64)
-    each = each.where(base | (free & enough))
-    start = F.when(base, F.col("start")).otherwise(F.col("start") + lead)
-    word = F.when(base, F.col("m")).otherwise(core)
-    return rows, materialize(each.select(
-        "row", "kind", start.alias("start"), (start + F.char_length(word)).alias("stop"), word.alias("m"),
-        "left", "right"), "mentions")
-
-
-def context_patterns(left: Column, right: Column) -> Column:
-    """The lexical patterns beside a mention; a missing word is ``^``."""
-    def words(c: Column) -> Column:
-        return F.array_remove(F.split(ascii_lower(c), SPACE_RUN), "")
-
-    a, b = words(left), words(right)
-    none = F.lit("^")
-    l1, l2 = (F.coalesce(F.try_element_at(a, F.lit(-i)), none) for i in (1, 2))
-    r1, r2 = (F.coalesce(F.try_element_at(b, F.lit(i)), none) for i in (1, 2))
-    return F.array(F.concat_ws(" ", F.lit("L"), l2, l1), F.concat_ws(" ", F.lit("R"), r1, r2),
-                   F.concat_ws(" ", F.lit("B"), l1, r1))
-
-
-def discover(found: DataFrame, rounds: int = 3, support: int = 3, pattern_floor: float = 0.6,
-             accept: float = 0.7) -> DataFrame:
-    """``value, kind``: candidates that the accepted patterns make identifiers.
+    return rows, materialize(each.where(ok).select("row", "th", "kind", "start", "stop", "m"), "base_matches")
+
+
+def text_units(docs: DataFrame, matches: DataFrame) -> DataFrame:
+    """``th, pieces``: each text cut at its base matches.  A piece is a text without
+    a match, where it starts, and the seeds (``kind, value``) right after it."""
+    spans = matches.groupBy("th").agg(F.array_sort(F.collect_set(F.struct(
+        "start", "stop", "kind", F.lower("m").alias("value")))).alias("s"))
+    spans = small_side(materialize(spans, "base_spans"), 400)
+    t = docs.select(F.coalesce("text", F.lit("")).alias("t"), F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("th"))
+    seed = "array(named_struct('kind', x.kind, 'value', x.value))"
+    joined = F.expr(f"""aggregate(s, cast(array() as array<struct<a:int,b:int,seeds:array<struct<kind:string,value:string>>>>),
+        (acc, x) -> if(size(acc) > 0 and x.start < element_at(acc, -1).b,
+            concat(slice(acc, 1, size(acc) - 1), array(named_struct('a', element_at(acc, -1).a,
+                'b', greatest(element_at(acc, -1).b, x.stop), 'seeds', concat(element_at(acc, -1).seeds, {seed})))),
+            concat(acc, array(named_struct('a', x.start, 'b', x.stop, 'seeds', {seed})))))""")
+    t = t.join(spans, "th", "left").select("th", "t", joined.alias("u"))
+    whole = F.expr("array(named_struct('at', 0, 'p', t, 'seeds', cast(null as array<struct<kind:string,value:string>>)))")
+    cut = F.expr("""concat(
+        transform(u, (x, i) -> named_struct('at', coalesce(get(u, i - 1).b, 0), 'p', substring(t,
+            coalesce(get(u, i - 1).b, 0) + 1, x.a - coalesce(get(u, i - 1).b, 0)), 'seeds', x.seeds)),
+        array(named_struct('at', element_at(u, -1).b, 'p', substring(t, element_at(u, -1).b + 1), 'seeds',
+            cast(null as array<struct<kind:string,value:string>>))))""")
+    return materialize(t.select("th", F.when(F.col("u").isNull(), whole).otherwise(cut).alias("pieces")), "pii_units")
+
+
+def places(units: DataFrame) -> DataFrame:
+    """``th, i, n, value, seeds, patterns``: every seed, word and run of number
+    words, ``n`` units from the ``i``-th, with the patterns it stands in.  ``seeds``
+    is null for candidates."""
+    a = units.select("th", F.expr(rf"""flatten(transform(pieces, x -> concat(
+        transform(filter(transform(split(lower(x.p), r'{SPACE_RUN}'), w -> btrim(w, {EDGES_SQL})), w -> w <> ''),
+            w -> named_struct('v', w, 'seeds', cast(null as array<struct<kind:string,value:string>>))),
+        if(x.seeds is null, array(), array(named_struct('v', x.seeds[0].value, 'seeds', x.seeds))))))""").alias("u"),
+        F.exists("pieces", lambda x: x["p"].rlike(r"[0-9]\P{L}*[\x20\x09-\x0D]\P{L}*[0-9]")).alias("cue"))
+    # 2: digits alone, 1: digits and no letter; only texts with two such words in a row have runs.
+    a = a.select("th", "u", F.transform("u", lambda x: F.xxhash64(x["v"])).alias("h"), F.when(F.col("cue"), F.transform(
+        "u", lambda x: F.when(x["seeds"].isNotNull() | ~x["v"].rlike(r"^\P{L}*[0-9]\P{L}*$"), 0).when(
+            x["v"].rlike(r"^\+?[0-9]+$"), 2).otherwise(1))).alias("c"))
+
+    def reach(window: str, least: int) -> str:
+        gap = f"cast(array_position(transform({window}, y -> y >= {least}), false) as int)"
+        return f"if({gap} = 0, size({window}), {gap} - 1)"
+
+    ahead = f"slice(c, i + 1, {RUN})"
+    behind = f"reverse(slice(c, greatest(1, i + 2 - {RUN}), least({RUN}, i + 1)))"
+    a = a.select("th", "u", "h", "c", *[F.expr(
+        f"if(c is null, null, transform(c, (x, i) -> if(x < {least}, 1, {reach(window, least)})))").alias(k)
+        for k, window, least in (("fwd", ahead, 2), ("bwd", behind, 2), ("run", ahead, 1))])
+    one = F.expr("""transform(u, (x, i) -> named_struct('i', i, 'n', 1, 'value', x.v, 'seeds', x.seeds, 'patterns', array(
+        if(i = 0 or get(fwd, i) > 1, null, xxhash64('L', coalesce(get(h, i - 2), 0L), get(h, i - 1))),
+        if(i + 1 = size(h) or get(bwd, i) > 1, null, xxhash64('R', get(h, i + 1), coalesce(get(h, i + 2), 0L))),
+        if(size(h) = 1, null, xxhash64('B', coalesce(get(h, i - 1), 0L), coalesce(get(h, i + 1), 0L))))))""")
+    more = F.expr("""flatten(transform(run, (m, i) -> if(m < 2, array(), transform(sequence(2, m), n -> named_struct(
+        'i', i, 'n', n, 'value', array_join(transform(slice(u, i + 1, n), x -> x.v), ' '),
+        'seeds', cast(null as array<struct<kind:string,value:string>>), 'patterns', array(
+        if(i = 0 or get(fwd, i) <> n, null, xxhash64('L', coalesce(get(h, i - 2), 0L), get(h, i - 1))),
+        if(i + n = size(h) or get(bwd, i + n - 1) <> n, null, xxhash64('R', get(h, i + n), coalesce(get(h, i + n + 1), 0L))),
+        if(i = 0 and n = size(h), null, xxhash64('B', coalesce(get(h, i - 1), 0L), coalesce(get(h, i + n), 0L)))))))))""")
+    return a.select("th", F.inline(F.when(F.col("c").isNull(), one).otherwise(F.concat(one, more))))
+
+
+def discover(units: DataFrame, support: int = 3, pattern_floor: float = 0.6,
+             accept: float = 0.7) -> DataFrame | None:
+    """``th, i, n, kind, belief``: mentions that the accepted patterns make
+    identifiers; none if there are none.
 
     ``support``: distinct believed instances a pattern needs; ``pattern_floor``:
     its least confidence; ``accept``: the least belief in an instance.
     """
-    edges = found.select(F.lower("m").alias("value"), "kind", F.explode(context_patterns(F.col("left"), F.col("right")))
-                         .alias("pattern")).where("pattern not in ('L ^ ^', 'R ^ ^', 'B ^ ^')").distinct()
-    edges = materialize(edges, "pattern_edges")
-    seeds = edges.where("kind <> 'word'").select("value", "kind").distinct().withColumn("belief", F.lit(1.0))
-    unknown = edges.where("kind = 'word'").select("value", "pattern")
-    size = edges.select("pattern", "value").distinct().groupBy("pattern").agg(F.count("*").alias("size"))
-    believed = seeds.limit(0)
-    for _ in range(rounds):
-        told = edges.where("kind <> 'word'").select("pattern", "kind", "value", F.lit(1.0).alias("belief")).unionByName(
-            unknown.join(believed, "value").select("pattern", "kind", "value", "belief"))
-        score = told.groupBy("pattern", "kind").agg(F.sum("belief").alias("weight"), F.count("*").alias("n")).join(
-            size, "pattern").withColumn("confidence", F.col("weight") / (F.col("size") + 1))
-        good = score.where((F.col("n") >= support) & (F.col("confidence") >= pattern_floor))
-        doubt = unknown.join(good, "pattern").groupBy("value", "kind").agg(
-            F.sum(F.ln(1 - F.col("confidence"))).alias("doubt"))
-        belief = doubt.select("value", "kind", (1 - F.exp("doubt")).alias("belief"))
-        best = belief.groupBy("value").agg(F.max(F.struct("belief", "kind")).alias("b"))
-        best = best.select("value", F.col("b.kind").alias("kind"), F.col("b.belief").alias("belief"))
-        believed = materialize(best.where(F.col("belief") >= accept), "believed")
-    return believed.select("value", "kind")
+    seeds = places(units.where(F.size("pieces") > 1)).where(F.col("seeds").isNotNull())
+    seeds = seeds.select(F.explode("seeds").alias("s"), "patterns").select(
+        "s.kind", "s.value", F.explode("patterns").alias("pattern")).where("pattern is not null").distinct()
+    seeds = materialize(seeds.withColumn("belief", F.lit(1.0)), "seed_edges")
+    spread = places(units).where("seeds is null")
+    edges = known = mentions = believed = good = None
+    while True:
+        told = seeds
+        if mentions is not None:
+            told = told.unionByName(mentions.select("value", F.explode("patterns").alias("pattern")).where(
+                "pattern is not null").distinct().join(believed, "value").select(*seeds.columns))
+        weight = materialize(told.groupBy("pattern", "kind").agg(F.sum("belief").alias("weight"), F.count("*").alias("n"))
+                             .where(F.col("n") >= support), "pattern_weights")
+        active = weight.select("pattern").distinct()
+        fresh = materialize(active if known is None else active.join(known, "pattern", "left_anti"), "active_patterns")
+        if not fresh.isEmpty():
+            beside = spread.select("value", F.explode("patterns").alias("pattern")).join(
+                small_side(fresh, 24), "pattern", "left_semi").distinct()
+            beside = materialize(beside, "pattern_edges")
+            edges = beside if edges is None else edges.unionByName(beside)
+            known = fresh if known is None else known.unionByName(fresh)
+        if edges is None:
+            return None
+        size = edges.unionByName(seeds.select("value", "pattern")).distinct().groupBy("pattern").agg(F.count("*").alias("size"))
+        good = weight.join(size, "pattern").withColumn("confidence", F.col("weight") / (F.col("size") + 1))
+        good = materialize(good.where(F.col("confidence") >= pattern_floor).select("pattern", "kind", "confidence"), "accepted")
+        belief = edges.join(good, "pattern").groupBy("value", "kind").agg(
+            (1 - F.exp(F.sum(F.ln(1 - F.col("confidence"))))).alias("belief"))
+        best = belief.where(F.col("belief") >= accept).groupBy("value").agg(F.max(F.struct("belief", "kind")).alias("b"))
+        before = believed
+        believed = materialize(best.select("value", "b.kind", "b.belief"), "believed")
+        new = believed.select("value")
+        new = materialize(new if before is None else new.join(before, "value", "left_anti"), "new_instances")
+        if new.isEmpty():
+            break
+        at = materialize(spread.join(small_side(new), "value", "left_semi").select("th", "i", "n", "value", "patterns"), "mentions")
+        mentions = at if mentions is None else mentions.unionByName(at)
+    if mentions is None:
+        return None
+    named = mentions.join(believed, "value").distinct()
+    plain = F.col("value").rlike(r"^\p{L}+$")
+    here = named.where(plain).withColumn("pattern", F.explode("patterns")).join(good, ["pattern", "kind"], "left_semi")
+    cols = ["th", "i", "n", "kind", "belief"]
+    return named.where(~plain).select(cols).unionByName(here.select(cols)).distinct()
+
+
+def added_spans(units: DataFrame, mentions: DataFrame) -> DataFrame:
+    """``th, kind, start, stop``: the places of ``mentions`` in their texts, without
+    those that overlap one believed more."""
+    per = materialize(mentions.groupBy("th").agg(F.array_sort(F.collect_list(F.struct(
+        (-F.col("belief")).alias("doubt"), (-F.col("n")).alias("short"), "i", "n", "kind"))).alias("found")), "added_mentions")
+    a = units.join(small_side(per, 200), "th").dropDuplicates(["th"])
+    free = F.expr("""aggregate(found, cast(array() as array<struct<doubt:double,short:int,i:int,n:int,kind:string>>), (acc, x) ->
+        if(exists(acc, y -> x.i < y.i + y.n and y.i < x.i + x.n), acc, concat(acc, array(x))))""")
+    a = a.select("th", "pieces", free.alias("found"), F.expr(rf"""transform(pieces, x -> transform(arrays_zip(
+        split(x.p, r'{SPACE_RUN}'), regexp_extract_all(x.p, r'{SPACE_RUN}', 0)), y -> named_struct(
+        'step', char_length(y.`0`) + coalesce(char_length(y.`1`), 0), 'core', char_length(btrim(y.`0`, {EDGES_SQL})),
+        'lead', char_length(y.`0`) - char_length(trim(leading {EDGES_SQL} from y.`0`)))))""").alias("w"))
+    a = a.select("th", "pieces", "found", "w", F.expr("""flatten(transform(w, (x, k) -> concat(filter(transform(x,
+        (y, j) -> named_struct('k', k, 'j', j, 'lead', y.lead, 'core', y.core)), y -> y.core > 0),
+        if(pieces[k].seeds is null, array(), array(named_struct('k', k, 'j', -1, 'lead', 0, 'core', 0))))))""").alias("u"))
+
+    def start(of: str) -> str:
+        return (f"pieces[u[{of}].k].at + aggregate(slice(w[u[{of}].k], 1, u[{of}].j), 0, (s, y) -> s + y.step) + u[{of}].lead")
+
+    return a.select("th", F.inline(F.expr(f"""transform(found, x -> named_struct('kind', x.kind, 'start', {start('x.i')},
+        'stop', {start('(x.i + x.n - 1)')} + u[x.i + x.n - 1].core))""")))
 
 
 def _joined(spans: Column) -> Column:
@@ -158,11 +246,15 @@ def personal_data(docs: DataFrame, **options) -> DataFrame:
 
     The counts and the digest are of base spans; ``spans`` holds all.
     """
-    rows, found = mentions(docs.select("doc_id", "text"))
-    names = discover(found, **options).withColumnRenamed("kind", "as_kind")
-    added = found.where("kind = 'word'").withColumn("value", F.lower("m")).join(names, "value").select(
-        "row", F.col("as_kind").alias("kind"), "start", "stop", F.lit(False).alias("base"))
-    spans = found.where("kind <> 'word'").select("row", "kind", "start", "stop", F.lit(True).alias("base")).unionByName(added)
+    docs = docs.select("doc_id", "text")
+    rows, matches = base_matches(docs)
+    spans = matches.select("row", "kind", "start", "stop", F.lit(True).alias("base"))
+    units = text_units(docs, matches)
+    found = discover(units, **options)
+    if found is not None:
+        added = materialize(added_spans(units, found), "added_spans")
+        spans = spans.unionByName(rows.select("row", "th").join(added, "th").select(
+            "row", "kind", "start", "stop", F.lit(False).alias("base")))
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int")
     one = F.struct("start", rank.alias("rank"), "stop")
     per = spans.groupBy("row").agg(

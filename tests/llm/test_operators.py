@@ -74,6 +74,30 @@ def test_pii_discovers_in_believed_contexts(spark):
     assert got[13]["spans"] == ""
 
 
+def spans_of(spark, texts, **options):
+    got = {r["doc_id"]: r for r in pii.personal_data(frame(spark, texts), **options).collect()}
+    return [got[i]["spans"] for i in range(len(texts))]
+
+
+def test_pii_candidates_need_no_digits(spark):
+    mails = [f"please write to user{i}@example.org about your order" for i in range(12)]
+    dials = [f"kindly phone desk +1 234 555 67{i:02d} before noon today" for i in range(12)]
+    long = "x" * 70 + "@intranet"
+    new = ["please write to jane@intranet about your order", "please write to jane(at)example.org, about your order",
+           f"please write to {long} about your order", "kindly phone desk (555) 010 4477 before noon today",
+           "jane@intranet came by and 555 stayed", "that was 555 010 4477 again"]
+    got = spans_of(spark, mails + dials + new)
+    assert got[24:] == ["email:16:29", "email:16:35", "email:16:95", "phone:19:32", "email:0:13", "phone:9:21"]
+
+
+def test_pii_rounds_end_when_nothing_is_new(spark):
+    texts = [f"hop0 left user{i}@example.org right end0" for i in range(3)]
+    for k in range(5):
+        texts += [f"hop{x} left key{k}x{j} right end{x}" for j in range(3) for x in ([k, k + 1] if k < 4 else [k])]
+    got = spans_of(spark, texts, pattern_floor=0.2, accept=0.5)
+    assert all(x.startswith("email:10:") for x in got)
+
+
 # ---- op2
 def brute_stats(t):
     w = SPACED.findall(t or "")
