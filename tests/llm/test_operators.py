@@ -98,6 +98,13 @@ def test_pii_rounds_end_when_nothing_is_new(spark):
     assert all(x.startswith("email:10:") for x in got)
 
 
+def test_pii_context_is_the_words_beside(spark):
+    seeds = [f"ref 17 10.0.0.{i} 400 due" for i in range(12)]
+    far = [f"sum 9 {'w' * 60} u{i}@example.org 12 {'v' * 60}" for i in range(12)]
+    got = spans_of(spark, [*seeds, *far, "ref 17 4455-667 400 due", f"sum 9 {'w' * 60} u77 12 {'v' * 60}"])
+    assert got[24:] == ["ip:7:15", "email:67:70"]
+
+
 # ---- op2
 def brute_stats(t):
     w = SPACED.findall(t or "")
