@@ -137,13 +137,15 @@ def _with_margin(bad: DataFrame, conds: list[Condition]) -> tuple[Condition, ...
     return tuple(Condition(f, a, cut) for (f, a), cut in cuts.items())
 
 
-def learn_rules(train: DataFrame, max_rules: int = 8, max_conditions: int = 4, cuts: int = 32,
+def learn_rules(train: DataFrame, max_conditions: int = 4, cuts: int = 32,
                 precision: float = 0.95, support: int = 5) -> list[Rule]:
     """The decision list that separates ``bad`` rows of ``train``.
 
     ``cuts`` bounds the thresholds tried per feature (quantiles of all rows and
     of the bad rows).  A rule enters the list if at least ``precision`` of what
-    it covers on the pruning third is bad, and it covers ``support`` bad rows.
+    it covers on the pruning third is bad, and it covers ``support`` bad rows;
+    the first rule that does not ends the list.  Counted, set aside and emitted is
+    the rule with its margin, or without it if only that is precise and supported.
     """
     qs = [(i + 0.5) / cuts for i in range(cuts)]
     bad_only = [F.when(F.col("bad") == 1, F.col(f)) for f in FEATURES]
@@ -167,10 +169,9 @@ def learn_rules(train: DataFrame, max_rules: int = 8, max_conditions: int = 4, c
         return b <= k if at_most else b > k
 
     rules: list[Rule] = []
-    left = F.lit(True)
-    for _ in range(max_rules):
+    while True:
         conds: list[tuple[int, bool, int]] = []
-        inside = left
+        inside = F.lit(True)
         while len(conds) < max_conditions:
             counts = (rows.where(inside & F.col("grow")).select("bad", F.posexplode("bins").alias("f", "b"))
                       .groupBy("f", "b").agg(F.sum("bad").alias("p"), F.count("*").alias("n")).collect())
@@ -197,7 +198,7 @@ def learn_rules(train: DataFrame, max_rules: int = 8, max_conditions: int = 4, c
         if not conds:
             break
         # Prune: the prefix of the conditions that does best on the other third.
-        prefixes, c = [], left & ~F.col("grow")
+        prefixes, c = [], ~F.col("grow")
         for x in conds:
             c = c & test(*x)
             prefixes.append(c)
@@ -205,15 +206,19 @@ def learn_rules(train: DataFrame, max_rules: int = 8, max_conditions: int = 4, c
                           for k, c in enumerate(prefixes) for v in (0, 1)]).first()
         value = [(seen[f"{k}_1"] + 1) / (seen[f"{k}_1"] + seen[f"{k}_0"] + 2) for k in range(len(conds))]
         keep = max(range(len(conds)), key=lambda k: (round(value[k], 9), -k))
-        p, n = seen[f"{keep}_1"], seen[f"{keep}_0"]
-        if p < support or p < precision * (p + n):
-            break
         covered = test(*conds[0])
         for x in conds[1:keep + 1]:
             covered = covered & test(*x)
-        rules.append(Rule(_with_margin(rows.where(left & covered & (F.col("bad") == 1)), [
-            Condition(FEATURES[f], a, points[f][k]) for f, a, k in conds[:keep + 1]]), p, n))
-        left = left & ~covered
+        plain = [Condition(FEATURES[f], a, points[f][k]) for f, a, k in conds[:keep + 1]]
+        tried = [Rule(_with_margin(rows.where(covered & (F.col("bad") == 1)), plain), 0, 0), Rule(tuple(plain), 0, 0)]
+        seen = rows.where(~F.col("grow")).agg(*[F.count_if(r.column() & (F.col("bad") == v)).alias(f"{k}_{v}")
+                                                for k, r in enumerate(tried) for v in (0, 1)]).first()
+        tried = [Rule(r.conditions, seen[f"{k}_1"], seen[f"{k}_0"]) for k, r in enumerate(tried)]
+        good = [r for r in tried if r.bad >= support and r.bad >= precision * (r.bad + r.good)]
+        if not good:
+            break
+        rules.append(good[0])
+        rows = materialize(rows.where(~good[0].column()), "rule_rows")
     return rules
 
 

@@ -142,6 +142,19 @@ def test_decision_list_separates_labels(spark):
     assert kept == set(range(60))
 
 
+def test_rules_are_counted_and_set_aside_as_emitted(spark):
+    share = "cast(0.5 + if(bad = 1, id, -id) / 4000 as double)"
+    cols = [f"{share if f == 'digit_share' else '0.0D'} as {f}" for f in quality.FEATURES]
+    train = spark.range(2000).selectExpr("id", "explode(array(0, 1)) as bad").selectExpr("2 * id + bad as doc_id", "bad", *cols)
+    rules = quality.learn_rules(train)
+    left = train.where("pmod(xxhash64(doc_id), 3) = 2")
+    for r in rules:
+        assert (r.bad, r.good) == tuple(left.where(r.column()).where(f"bad = {v}").count() for v in (1, 0))
+        left = left.where(~r.column())
+    # The lowest cut is the 1/64 quantile of the bad rows; what lies above it is all learned but for one rule's support.
+    assert train.where("bad = 1 and digit_share > 0.508").where(quality.verdict(rules).isNull()).count() <= 20
+
+
 # ---- op3
 def words3(t):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
