@@ -35,6 +35,10 @@ from pyspark.sql import functions as F
 from quarry.session import scratch_path
 
 
+#: Leaves evaluated at once; phi is a sum over leaves, so this only bounds memory.
+LEAF_BLOCK = 512
+
+
 def leaf_paths(spark: SparkSession, model) -> DataFrame:
     """(tree, leaf, value, edges[feature, threshold, is_left, z]) per leaf,
     from the model's saved node table, one join per level."""
@@ -104,7 +108,7 @@ def _leaf_groups(leaves: list, n_trees: int):
             groups[len(feats)].append((feats, [per[f][0] for f in feats], [per[f][1] for f in feats],
                                        [per[f][2] for f in feats], value))
     packed = []
-    for d, items in sorted(groups.items()):
+    for items in (g[s:s + LEAF_BLOCK] for _, g in sorted(groups.items()) for s in range(0, len(g), LEAF_BLOCK)):
         packed.append((
             np.array([i[0] for i in items], dtype=np.int64), np.array([i[1] for i in items], dtype=np.float64),
             np.array([i[2] for i in items], dtype=np.float64), np.array([i[3] for i in items], dtype=np.float64),

@@ -7,8 +7,8 @@ out-of-fold predictions are kept for the other keys.
 
 Spark-side settings that differ from the reference's estimators, all stated
 in the README: the "default" forest is capped at depth 12 (Spark grows trees
-level by level, depth 30 costs minutes per fit even at sf0.01); Shapley
-attribution explains a depth-6 forest; the grid's third axis uses
+level by level, depth 30 costs minutes per fit even at sf0.01); the
+Shapley attribution explains that forest; the grid's third axis uses
 ``minInstancesPerNode`` in place of ``min_samples_split``.
 """
 
@@ -27,7 +27,6 @@ from quarry.plans.registry import query
 from quarry.session import scratch_path
 
 DEFAULT_FOREST_DEPTH = 12
-ATTRIBUTION_DEPTH = 6
 GRID = {"numTrees": [50, 100, 150], "maxDepth": [4, 6, 8], "minInstancesPerNode": [1, 3, 5]}
 WHAT_IF_COLUMN, WHAT_IF_VALUES = "l_quantity", [1.0, 25.0, 50.0]
 
@@ -66,8 +65,6 @@ class Lab:
         if name not in self._models:
             if name == "stacking_ensemble":
                 self._models[name] = self.stacked()
-            elif name == "attribution_forest":
-                self._models[name] = mm.random_forest(max_depth=ATTRIBUTION_DEPTH).fit(self.train)
             elif name == "tuned_forest":
                 self._models[name] = self.grid()[0].bestModel
             else:
@@ -98,7 +95,7 @@ class Lab:
     def shap(self):
         if "_shap" not in self._models:
             path = scratch_path(self.spark, "shap")
-            at.tree_shap(self.train, self.model("attribution_forest")).write.parquet(path)
+            at.tree_shap(self.train, self.model("random_forest")).write.parquet(path)
             self._models["_shap"] = at.shap_long(self.spark.read.parquet(path), self.names)
         return self._models["_shap"]
 
@@ -226,7 +223,7 @@ def attribution_row(spark, sf_dir):
     """Base value and contributions of the first training row."""
     lb = lab(spark, sf_dir)
     first = lb.train.select(F.min("row_id")).scalar()
-    one = at.tree_shap(lb.train.filter(F.col("row_id") == first), lb.model("attribution_forest"))
+    one = at.tree_shap(lb.train.filter(F.col("row_id") == first), lb.model("random_forest"))
     return at.attribution_row(at.shap_long(one, lb.names), first)
 
 

@@ -127,3 +127,20 @@ def test_booking_stream_equals_batch_in_arrival_order(spark, chunks):
     a = streamed.select("request_id", "outcome")
     b = batch.select("request_id", "outcome")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_attribution_explains_the_reported_forest(spark):
+    from quarry.plans.models import Lab
+
+    rows = spark.range(400).selectExpr("id as row_id", "array(id % 37, id % 11) as x", "cast(id % 37 * (id % 11) as double) as label")
+    from pyspark.ml.functions import array_to_vector
+
+    lb = object.__new__(Lab)
+    lb.spark, lb.names = spark, ["a", "b"]
+    lb.train = rows.select("row_id", "label", array_to_vector(rows["x"].cast("array<double>")).alias("features"))
+    forest = mm.random_forest(max_depth=9).setNumTrees(5).fit(lb.train)
+    lb._models = {"random_forest": forest}
+    told = {r["row_id"]: r["v"] for r in lb.shap().groupBy("row_id").agg(
+        (F.first("base_value") + F.sum("phi")).alias("v")).collect()}
+    want = {r["row_id"]: r["prediction"] for r in forest.transform(lb.train).collect()}
+    assert all(abs(told[k] - want[k]) < 1e-6 for k in want)
