@@ -43,8 +43,8 @@ STAGES = [
     ("pack", pack),
 ]
 
-#: The learned rules and the tokenizer are beyond SQL; tests/llm holds run()
-#: against a brute-force pipeline.
+#: The learned rules and the tokenizer are beyond SQL.  No test holds run()
+#: against a brute-force pipeline yet.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,7 @@ ones are counted directly and only the rest is merged by the tokenizer.
 
 The split uses the tokenizer's own pattern, in ``regex``, for texts whose
 characters are all below U+0250, where the two engines agree on letters, numbers
-and white space (the test compares every such character); other texts are split by the
+and white space (no test compares every such character yet); other texts are split by the
 tokenizer's own pre-tokenizer.  Special strings inside a text are one token each
 and cut the text, which is the library's default.
 
