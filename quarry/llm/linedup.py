@@ -4,9 +4,8 @@ Each line becomes ``(128-bit key hash, doc_id, position)``; its text does not
 travel.  The hashes are range-partitioned and sorted by hash, document and
 position, as one written run per partition.  The range bounds are on the whole
 sort key, so a line that a third of the documents share is cut over many runs
-like any other.  A pass over the sorted runs streams the first document of every
-key: inside a run the partial aggregate meets a key's rows side by side, and
-only one row per key and run is exchanged.  Later holders of a key become bits
+like any other.  The first document of every key is a grouped minimum over the
+runs, joined back to them; the order inside a run is not used for it.  Later holders of a key become bits
 of sparse 64-line words; a document's bitmap is the list of its non-zero words.
 
 Defined results: a null or empty text is one empty line; rows without a
