@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontam, langid, linedup, neardup, packing, pii, quality, sharding, substring, tokens
+from quarry.llm import (decontam, langid, linedup, neardup, neighbours, orchard, packing, pii, quality, retrieval,
+                        sharding, substring, tokens)
 from quarry.llm.common import LOWER, UPPER, table
 
 QUERIES = {}
@@ -160,4 +161,63 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+_TERMS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+SEARCH_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+c AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS terms FROM d WHERE len(w) > 0),
+f AS (SELECT r, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf
+      FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY r, term),
+q AS (SELECT item, any_value(item_id) AS item_id, term, count(*) AS repeats
+      FROM (SELECT row_number() OVER () AS item, item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY item, term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w
+      FROM (SELECT term, count(*) AS df FROM f GROUP BY term), c),
+s AS (SELECT item, any_value(item_id) AS item_id, r, any_value(doc_id) AS doc_id, sum(repeats * w *
+             ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * docs) // terms)))))::BIGINT AS score
+      FROM q JOIN w USING (term) JOIN f USING (term), c GROUP BY item, r),
+o AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM o WHERE rank <= 10
+"""
+
+
+@_query("op11_ranked_search", SEARCH_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("op12_quality_neighbours")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def clusters_sql(k: int, rounds: int, dim: int, scale: int) -> str:
+    """K-means with every distance taken, one block of expressions a round."""
+    near = f"""n{{i}} AS MATERIALIZED (SELECT r, arg_min(j, (d, j)) AS j, min(d) AS d FROM (
+    SELECT r, c.j, list_sum(list_transform(list_zip(v.q, c.q), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM v, c{{i}} c) GROUP BY r)"""
+    move = """c{n} AS MATERIALIZED (SELECT c.j, coalesce(m.q, c.q) AS q FROM c{i} c LEFT JOIN (
+    SELECT j, list((s - ((s % n) + n) % n) // n ORDER BY axis) AS q FROM (
+        SELECT j, axis, sum(x)::BIGINT AS s, count(*) AS n FROM (
+            SELECT j, unnest(q) AS x, unnest(range(len(q))) AS axis FROM v JOIN n{i} USING (r)) GROUP BY j, axis)
+    GROUP BY j) m USING (j))"""
+    steps = ",\n".join(x for i in range(rounds) for x in (near.format(i=i), move.format(i=i, n=i + 1)))
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id,
+        list_transform(embedding, lambda x: floor(x::DOUBLE * {scale})::BIGINT) AS q FROM embeddings
+    WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dim}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), q) - 1 AS j, q FROM v
+    QUALIFY j < {k}),
+{steps},
+{near.format(i=rounds)},
+s AS (SELECT j, sum(d)::BIGINT AS cluster_inertia FROM n{rounds} GROUP BY j)
+SELECT vec_id, j::INT AS cluster, d AS distance, cluster_inertia, (SELECT sum(d)::BIGINT FROM n{rounds}) AS inertia,
+       sha256(array_to_string(c.q, ',')) AS centroid_sha256
+FROM n{rounds} JOIN v USING (r) JOIN s USING (j) JOIN c{rounds} c USING (j)
+"""
+
+
+@_query("op13_orchard_clusters", clusters_sql(orchard.K, orchard.ROUNDS, orchard.DIM, orchard.SCALE))
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.clusters(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
 __all__ = ["ORACLES", "QUERIES"]
