@@ -4,175 +4,299 @@ For one tree, the value of a coalition S of features is
 ``v(S) = sum_leaves value * prod_{j on path} (j in S ? o_j(x) : z_j)`` where
 ``o_j`` says whether x satisfies all of the path's conditions on feature j and
 ``z_j`` is the product of child/parent cover ratios of those conditions (the
-path-dependent expectation TreeSHAP uses).  Each leaf is a product game whose
-Shapley value is closed form:
+path-dependent expectation TreeSHAP uses).  A leaf's Shapley values are an
+integral over the unit interval,
 
-    phi_i = value * (o_i - z_i) * sum_k c_k * k! (d-1-k)! / d!,
+    phi_i = value * (o_i - z_i) * int prod_{j != i} (t o_j + (1 - t) z_j) dt,
 
-with ``c_k`` the coefficients of ``prod_{j != i} (z_j + o_j t)``.
+whose integrand is a polynomial of degree d - 1 for d features on the path, so
+a Gauss-Legendre rule of ceil(d / 2) points gives it exactly: linear in d, with
+no coefficients to expand or to divide out.
 
-Work split:
-* the leaf-path table is built relationally from the saved model's node
-  table (one join per tree level; bounded by trees x leaves, a property of
-  the model, not the data) and shipped to the tasks;
-* rows are scored by ``mapInPandas``: each task evaluates all leaves for a
-  chunk of rows with vectorised NumPy (rows x leaves x depth arrays), so no
-  row-by-leaf relation is ever materialised or shuffled;
-* summaries are ordinary grouped aggregates.
+What a row adds to ``phi`` below a node depends on the row only through bits:
+one per feature on the path so far (are its conditions met?) and one per
+condition below.  So a block of rows walks the tree together and carries one
+integer of bits per row; at a node with few leaves below it the sum over these
+leaves is tabulated once for all bit patterns that can occur, and every row
+looks its own up.
+
+Work split: the trees are dealt into groups, each with its own broadcast table
+of nodes (at most ``NODES`` nodes, or one tree); each task scores a partition of
+rows against one group; with several groups the partial sums are added by row.
+There are as many groups as are needed to keep all cores busy when the rows have
+few partitions, and to hold the bound.  Summaries are ordinary grouped
+aggregates.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import scratch_path
+from quarry.session import scratch_path, ship_package
+
+#: Most nodes of a broadcast group of trees (about 50 bytes each).
+NODES = 2_000_000
+#: Most numbers of a block of rows (rows times features).
+CELLS = 1 << 19
+#: Most leaves below a node that are tabulated together, and the most bits of a
+#: table with a line for every pattern; beyond that only patterns that occur.
+TABLE_LEAVES = 4
+TABLE_BITS = 10
+
+
+@dataclass
+class Tree:
+    """Nodes as arrays, node 0 the root; ``left`` is -1 at leaves."""
+
+    left: np.ndarray
+    right: np.ndarray
+    feature: np.ndarray
+    threshold: np.ndarray
+    cover: np.ndarray
+    value: np.ndarray
+
+    def base(self) -> float:
+        """The value of the empty coalition."""
+        leaf = self.left < 0
+        return float((self.value * self.cover)[leaf].sum() / self.cover[0])
+
+    def leaves_below(self) -> np.ndarray:
+        n = (self.left < 0).astype(np.int64)
+        for i in range(len(n) - 1, -1, -1):  # children have larger numbers
+            if self.left[i] >= 0:
+                n[i] = n[self.left[i]] + n[self.right[i]]
+        return n
+
+
+@lru_cache(maxsize=64)
+def unit_rule(points: int) -> tuple[np.ndarray, np.ndarray]:
+    """Gauss-Legendre points and weights on the unit interval."""
+    t, w = np.polynomial.legendre.leggauss(max(1, points))
+    return (t + 1) / 2, w / 2
+
+
+def leaf_values(value: float, o: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """Shapley values of a leaf, d x patterns: ``o`` is d x patterns (0 or 1),
+    ``z`` has d."""
+    t, w = unit_rule((len(z) + 1) // 2)
+    g = t[:, None] * o[:, None, :] + ((1 - t) * z[:, None])[:, :, None]      # d x points x patterns
+    whole = w[:, None] * g.prod(axis=0)
+    rest = (whole / np.where(g > 0, g, 1.0)).sum(axis=1)
+    return value * (o - z[:, None]) * rest
+
+
+class _Scorer:
+    """One tree over one block of rows; adds to ``phi`` (features x rows)."""
+
+    def __init__(self, tree: Tree, x: np.ndarray, phi: np.ndarray):
+        self.tree, self.x, self.phi = tree, x, phi
+        self.below = tree.leaves_below()
+        self.buffer = np.empty(x.shape[1])
+
+    def run(self) -> None:
+        self._walk(0, np.zeros(self.x.shape[1], np.int64), [], np.empty(0))
+
+    def _walk(self, node: int, bits: np.ndarray, path: list[int], z: np.ndarray) -> None:
+        """``path``: features so far, bit ``j`` of ``bits`` is for ``path[j]``."""
+        t = self.tree
+        if self.below[node] <= TABLE_LEAVES:
+            self._tabulated(node, bits, path, z)
+            return
+        f = int(t.feature[node])
+        met = (self.x[f] <= t.threshold[node]).astype(np.int64)
+        for child, on in ((int(t.left[node]), met), (int(t.right[node]), 1 - met)):
+            ratio = t.cover[child] / t.cover[node]
+            if f in path:
+                j = path.index(f)
+                self._walk(child, bits & ((on << j) | ~(1 << j)), path, _times(z, j, ratio))
+            else:
+                self._walk(child, bits | (on << len(path)), [*path, f], np.append(z, ratio))
+
+    def _tabulated(self, node: int, bits: np.ndarray, path: list[int], z: np.ndarray) -> None:
+        t = self.tree
+        inner = self._inner(node)
+        d = len(path)
+        for k, i in enumerate(inner):
+            bits = bits | ((self.x[t.feature[i]] <= t.threshold[i]).astype(np.int64) << (d + k))
+        width = d + len(inner)
+        if width <= TABLE_BITS:
+            patterns, line = np.arange(1 << width), bits
+        else:
+            patterns, line = np.unique(bits, return_inverse=True)
+        o = list(((patterns >> np.arange(width)[:, None]) & 1).astype(float))
+        table: dict[int, np.ndarray] = {}
+        self._leaves(node, o[:d], z, path, dict(zip(inner, o[d:])), table)
+        for f, column in table.items():
+            np.take(column, line, out=self.buffer, mode="clip")
+            self.phi[f] += self.buffer
+
+    def _inner(self, node: int) -> list[int]:
+        t = self.tree
+        if t.left[node] < 0:
+            return []
+        return [node, *self._inner(int(t.left[node])), *self._inner(int(t.right[node]))]
 
+    def _leaves(self, node, o, z, path, met, table) -> None:
+        """The leaves below ``node`` for all patterns: ``o`` for the path so far,
+        ``met`` for the conditions below."""
+        t = self.tree
+        if t.left[node] < 0:
+            if path:
+                for f, phi in zip(path, leaf_values(float(t.value[node]), np.array(o), z)):
+                    table[f] = table[f] + phi if f in table else phi
+            return
+        f, hit = int(t.feature[node]), met[node]
+        for child, on in ((int(t.left[node]), hit), (int(t.right[node]), 1 - hit)):
+            ratio = t.cover[child] / t.cover[node]
+            if f in path:
+                j = path.index(f)
+                self._leaves(child, [*o[:j], o[j] * on, *o[j + 1:]], _times(z, j, ratio), path, met, table)
+            else:
+                self._leaves(child, [*o, on], np.append(z, ratio), [*path, f], met, table)
+
+
+def _times(z: np.ndarray, j: int, ratio: float) -> np.ndarray:
+    out = z.copy()
+    out[j] *= ratio
+    return out
+
+
+def shapley_block(trees: Sequence[Tree], x: np.ndarray) -> np.ndarray:
+    """``phi`` (rows x features) of a block of rows (rows x features)."""
+    columns = np.ascontiguousarray(x.T)
+    phi = np.zeros(columns.shape)
+    for tree in trees:
+        if tree.left[0] >= 0:
+            _Scorer(tree, columns, phi).run()
+    return phi.T
 
-#: Leaves evaluated at once; phi is a sum over leaves, so this only bounds memory.
-LEAF_BLOCK = 512
 
+# ------------------------------------------------------------ the model -----
 
-def leaf_paths(spark: SparkSession, model) -> DataFrame:
-    """(tree, leaf, value, edges[feature, threshold, is_left, z]) per leaf,
-    from the model's saved node table, one join per level."""
+def node_table(spark: SparkSession, model) -> DataFrame:
+    """The saved model's nodes, ``tree, id, left, right, feature, threshold,
+    cover, value``; a property of the model, not of the data."""
     path = scratch_path(spark, "tree_model")
     model.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data").select(
-        F.col("treeID").alias("tree"), "nodeData.id", "nodeData.prediction", "nodeData.rawCount",
-        "nodeData.leftChild", "nodeData.rightChild",
-        F.col("nodeData.split.featureIndex").alias("feature"),
+        F.col("treeID").alias("tree"), "nodeData.id", F.col("nodeData.leftChild").alias("left"),
+        F.col("nodeData.rightChild").alias("right"), F.col("nodeData.split.featureIndex").alias("feature"),
         F.try_element_at(F.col("nodeData.split.leftCategoriesOrThreshold"), F.lit(1)).alias("threshold"),
-        F.col("nodeData.split.numCategories").alias("num_categories"),
-    ).cache()
-    if nodes.filter(F.col("leftChild") >= 0).filter(F.col("num_categories") > 0).limit(1).count():
+        F.col("nodeData.rawCount").cast("double").alias("cover"), F.col("nodeData.prediction").alias("value"),
+        F.col("nodeData.split.numCategories").alias("categories"))
+    if not nodes.where("left >= 0 and categories > 0").isEmpty():
         raise ValueError("categorical splits are not supported; assemble 0/1 columns as plain numbers")
-    counts = nodes.select("tree", F.col("id").alias("child"), F.col("rawCount").alias("child_count"))
-    internal = nodes.filter(F.col("leftChild") >= 0)
-    edges = (
-        internal.select("tree", F.col("id").alias("parent"), "rawCount", "feature", "threshold",
-                        F.explode(F.array(
-                            F.struct(F.col("leftChild").alias("child"), F.lit(True).alias("is_left")),
-                            F.struct(F.col("rightChild").alias("child"), F.lit(False).alias("is_left")))).alias("e"))
-        .select("tree", "parent", "rawCount", "feature", "threshold", "e.child", "e.is_left")
-        .join(counts, ["tree", "child"])
-        .select("tree", "parent", "child", F.struct(
-            "feature", "threshold", "is_left",
-            F.coalesce(F.try_divide(F.col("child_count").cast("double"), F.col("rawCount").cast("double")),
-                       F.lit(0.0)).alias("z")).alias("edge"))
-    ).cache()
-    frontier = nodes.filter(F.col("id") == 0).select(
-        "tree", F.col("id").alias("node"),
-        F.array().cast("array<struct<feature:int,threshold:double,is_left:boolean,z:double>>").alias("edges"))
-    leaves = None
-    for _ in range(64):  # bounded by the tree depth (Spark trees are at most 30 deep)
-        here = frontier.join(nodes.select("tree", F.col("id").alias("node"), "prediction", "leftChild"),
-                             ["tree", "node"])
-        done = here.filter(F.col("leftChild") < 0).select("tree", F.col("node").alias("leaf"),
-                                                          F.col("prediction").alias("value"), "edges")
-        leaves = done if leaves is None else leaves.unionByName(done)
-        nxt = here.filter(F.col("leftChild") >= 0).join(
-            edges.withColumnRenamed("parent", "node"), ["tree", "node"]).select(
-            "tree", F.col("child").alias("node"), F.concat("edges", F.array("edge")).alias("edges"))
-        nxt = nxt.cache()  # model-sized; reused by the emptiness test and the next level
-        if nxt.limit(1).count() == 0:
-            break
-        frontier = nxt
-    return leaves
-
-
-def _leaf_groups(leaves: list, n_trees: int):
-    """Merge each leaf's conditions per feature into an interval (lo, hi] and
-    a cover product z; group leaves by their number of distinct features."""
-    groups: dict[int, list] = defaultdict(list)
-    base = 0.0
-    for row in leaves:
-        value = float(row["value"]) / n_trees
-        per: dict[int, list] = {}
-        for e in row["edges"]:
-            lo, hi, z = per.get(e["feature"], [-np.inf, np.inf, 1.0])
-            if e["is_left"]:
-                hi = min(hi, e["threshold"])
-            else:
-                lo = max(lo, e["threshold"])
-            per[e["feature"]] = [lo, hi, z * e["z"]]
-        feats = sorted(per)
-        base += value * math.prod(per[f][2] for f in feats)
-        if feats:
-            groups[len(feats)].append((feats, [per[f][0] for f in feats], [per[f][1] for f in feats],
-                                       [per[f][2] for f in feats], value))
-    packed = []
-    for items in (g[s:s + LEAF_BLOCK] for _, g in sorted(groups.items()) for s in range(0, len(g), LEAF_BLOCK)):
-        packed.append((
-            np.array([i[0] for i in items], dtype=np.int64), np.array([i[1] for i in items], dtype=np.float64),
-            np.array([i[2] for i in items], dtype=np.float64), np.array([i[3] for i in items], dtype=np.float64),
-            np.array([i[4] for i in items], dtype=np.float64),
-        ))
-    return packed, base
-
-
-def _shapley_weights(d: int) -> np.ndarray:
-    return np.array([math.factorial(k) * math.factorial(d - 1 - k) / math.factorial(d) for k in range(d)])
-
-
-def shap_chunk(x: np.ndarray, groups, p: int) -> np.ndarray:
-    """phi (rows x p) for a chunk of rows; see the module docstring."""
-    n = x.shape[0]
-    phi = np.zeros((n, p))
-    for feat, lo, hi, z, value in groups:
-        n_leaves, d = feat.shape
-        xv = x[:, feat]                                        # n x L x d
-        o = ((xv > lo) & (xv <= hi)).astype(np.float64)
-        poly = np.zeros((n, n_leaves, d + 1))
-        poly[..., 0] = 1.0
-        for j in range(d):                                     # prod_j (z_j + o_j t)
-            nxt = poly * z[None, :, j, None]
-            nxt[..., 1:] += poly[..., :-1] * o[..., j, None]
-            poly = nxt
-        w = _shapley_weights(d)
-        for i in range(d):                                     # divide out factor i
-            zi = z[None, :, i]
-            oi = o[..., i]
-            q1 = np.empty((n, n_leaves, d))
-            q1[..., d - 1] = poly[..., d]
-            for k in range(d - 1, 0, -1):
-                q1[..., k - 1] = poly[..., k] - zi * q1[..., k]
-            q0 = poly[..., :d] / np.where(zi > 0, zi, 1.0)[..., None]
-            q = np.where(oi[..., None] > 0, q1, q0)
-            contrib = value[None, :] * (oi - zi) * (q @ w)     # n x L
-            onehot = np.zeros((n_leaves, p))
-            onehot[np.arange(n_leaves), feat[:, i]] = 1.0
-            phi += contrib @ onehot
-    return phi
+    return nodes.drop("categories")
+
+
+def read_trees(nodes: DataFrame, weights: Sequence[float]) -> list[Tree]:
+    """Trees of the given nodes, their values scaled by the trees' weights."""
+    t = nodes.toArrow()
+    col = {c: t.column(c).to_numpy() for c in t.column_names}
+    order = np.lexsort((col["id"], col["tree"]))
+    col = {c: v[order] for c, v in col.items()}
+    cuts = np.flatnonzero(np.diff(col["tree"])) + 1
+    out = []
+    for a, b in zip([0, *cuts], [*cuts, len(order)]):
+        if a < b:
+            w = weights[int(col["tree"][a])]
+            out.append(Tree(col["left"][a:b], col["right"][a:b], col["feature"][a:b],
+                            np.nan_to_num(col["threshold"][a:b].astype(float)), col["cover"][a:b], col["value"][a:b] * w))
+    return out
+
+
+def tree_weights(model) -> list[float]:
+    """What each tree counts for: a forest averages, boosting adds up."""
+    n = len(model.trees)
+    forest = "RandomForest" in type(model).__name__
+    return [w / n if forest else w for w in model.treeWeights]
+
+
+def tree_groups(sizes: dict[int, int], least: int, most_nodes: int = NODES) -> list[list[int]]:
+    """Trees dealt into at least ``least`` groups (or one each) of about equal
+    size, of at most ``most_nodes`` nodes where a group has several."""
+    want = min(len(sizes), max(least, math.ceil(sum(sizes.values()) / most_nodes)))
+    groups: list[list[int]] = [[] for _ in range(want)]
+    load = [0] * want
+    for tree in sorted(sizes, key=lambda t: (-sizes[t], t)):
+        i = load.index(min(load))
+        if load[i] and load[i] + sizes[tree] > most_nodes:
+            groups.append([])
+            load.append(0)
+            i = len(load) - 1
+        groups[i].append(tree)
+        load[i] += sizes[tree]
+    return [g for g in groups if g]
+
+
+# ------------------------------------------------------------ the rows ------
+
+def _scored(trees, key: str, width: int):
+    def run(batches):
+        group = trees.value
+        rows = max(1, CELLS // width)
+        held, size = [], 0
+
+        def flush():
+            table = pa.Table.from_batches(held).combine_chunks()
+            x = table.column("x").combine_chunks().flatten().to_numpy().reshape(-1, width)
+            phi = shapley_block(group, x)
+            ends = np.arange(0, phi.size + 1, width, dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(phi.ravel()))
+            return pa.RecordBatch.from_arrays([table.column(key).combine_chunks(), lists], names=[key, "phi"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                if size + part.num_rows > rows:
+                    yield flush()
+                    held, size = [], 0
+                held.append(part)
+                size += part.num_rows
+        if size:
+            yield flush()
+
+    return run
 
 
 def tree_shap(df: DataFrame, model, key: str = "row_id", features_col: str = "features",
-              chunk_rows: int = 256) -> DataFrame:
+              groups: int | None = None) -> DataFrame:
     """(key, base_value, phi array) for every row of ``df``, where
-    ``base_value + sum(phi)`` equals the ensemble's prediction."""
+    ``base_value + sum(phi)`` equals the ensemble's prediction.  ``key`` tells
+    rows apart.  ``groups``: the least number of groups of trees (by default
+    what keeps all cores busy)."""
     spark = df.sparkSession
-    n_trees = len(model.trees)
-    leaves = leaf_paths(spark, model).collect()                # bounded by the model
-    groups, base = _leaf_groups(leaves, n_trees)
-    p = model.numFeatures
-    bc = spark.sparkContext.broadcast((groups, base, p))
-
-    def score(batches):
-        g, b, nf = bc.value
-        for pdf in batches:
-            x = np.array(pdf["x"].tolist(), dtype=np.float64).reshape(len(pdf), nf)
-            out = np.vstack([shap_chunk(x[s:s + chunk_rows], g, nf) for s in range(0, len(pdf), chunk_rows)]) \
-                if len(pdf) else np.zeros((0, nf))
-            yield pd.DataFrame({key: pdf[key].values, "base_value": b, "phi": list(out)})
-
+    ship_package(spark)
+    nodes = node_table(spark, model)
+    weights = tree_weights(model)
+    sizes = {r["tree"]: r["n"] for r in nodes.groupBy("tree").agg(F.count("*").alias("n")).collect()}
     rows = df.select(key, vector_to_array(features_col).alias("x"))
-    return rows.mapInPandas(score, f"{key} long, base_value double, phi array<double>")
+    if groups is None:
+        groups = math.ceil(2 * spark.sparkContext.defaultParallelism / max(1, rows.rdd.getNumPartitions()))
+    kind = rows.schema[key].dataType.simpleString()
+    base, parts = 0.0, []
+    for own in tree_groups(sizes, groups):
+        trees = read_trees(nodes.where(F.col("tree").isin(own)), weights)
+        base += sum(t.base() for t in trees)
+        parts.append(rows.mapInArrow(_scored(spark.sparkContext.broadcast(trees), key, model.numFeatures),
+                                     f"`{key}` {kind}, phi array<double>"))
+    if len(parts) == 1:
+        return parts[0].select(key, F.lit(base).alias("base_value"), "phi")
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.unionByName(p)
+    added = whole.groupBy(key).agg(*[F.sum(F.col("phi")[i]).alias(f"p{i}") for i in range(model.numFeatures)])
+    return added.select(key, F.lit(base).alias("base_value"),
+                        F.array(*[f"p{i}" for i in range(model.numFeatures)]).alias("phi"))
 
 
 def shap_long(shap: DataFrame, names: list[str], key: str = "row_id") -> DataFrame:

@@ -48,7 +48,7 @@ class Lab:
         path = scratch_path(spark, "model_data")
         data.write.parquet(path)
         self.data = spark.read.parquet(path)
-        self.train = self.data.filter(F.col("split") == "train").cache()
+        self.train = self.data.filter(F.col("split") == "train")
         self.test = self.data.filter(F.col("split") == "test")
         self._models: dict = {}
         self._oof = None

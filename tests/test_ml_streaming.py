@@ -1,3 +1,6 @@
+import itertools
+import math
+
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
@@ -47,19 +50,101 @@ def test_ridge_matches_closed_form(spark):
     assert np.allclose(model.coefficients.toArray(), w, atol=1e-3)
 
 
-def test_tree_shap_additivity(spark):
-    t = fx.Tables(spark, SF)
-    l = t("lineitem").limit(600)
+def small_forest(spark, trees=7, depth=5, rows=600):
+    l = fx.Tables(spark, SF)("lineitem").limit(rows)
     df = l.select(F.monotonically_increasing_id().alias("row_id"), "l_quantity", "l_discount", "l_tax",
                   "l_extendedprice")
     data = mf.assemble(df, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", keep=["row_id"]).cache()
-    model = mm.random_forest(num_trees=7, max_depth=4).fit(data)
-    shap = at.tree_shap(data, model)
+    return data, mm.random_forest(num_trees=trees, max_depth=depth).fit(data)
+
+
+def coalition_value(tree, x, s, node=0):
+    """The expectation of a tree when only the features in ``s`` are known."""
+    if tree.left[node] < 0:
+        return float(tree.value[node])
+    left, right, f = int(tree.left[node]), int(tree.right[node]), int(tree.feature[node])
+    if f in s:
+        return coalition_value(tree, x, s, left if x[f] <= tree.threshold[node] else right)
+    n = tree.cover[node]
+    return (tree.cover[left] * coalition_value(tree, x, s, left)
+            + tree.cover[right] * coalition_value(tree, x, s, right)) / n
+
+
+def enumerated(trees, x, p):
+    phi = np.zeros(p)
+    for i in range(p):
+        rest = [j for j in range(p) if j != i]
+        for k in range(p):
+            for s in itertools.combinations(rest, k):
+                w = math.factorial(k) * math.factorial(p - 1 - k) / math.factorial(p)
+                phi[i] += w * sum(coalition_value(t, x, {*s, i}) - coalition_value(t, x, set(s)) for t in trees)
+    return phi
+
+
+def random_tree(rnd, p, depth):
+    """Any tree over ``p`` features that repeat along paths."""
+    nodes = []
+
+    def grow(cover, d):
+        at = len(nodes)
+        nodes.append(None)
+        if d == 0 or cover < 2 or rnd.random() < 0.1:
+            nodes[at] = (-1, -1, -1, 0.0, cover, rnd.normal())
+            return at
+        cut = int(rnd.integers(1, cover))
+        f, t = int(rnd.integers(p)), float(rnd.integers(0, 6))
+        left = grow(cut, d - 1)
+        nodes[at] = (left, grow(cover - cut, d - 1), f, t, cover, 0.0)
+        return at
+
+    grow(400, depth)
+    left, right, f, t, cover, value = (np.array(c) for c in zip(*nodes))
+    return at.Tree(left, right, f, t, cover.astype(float), value)
+
+
+@pytest.mark.parametrize("leaves,bits", [(4, 10), (1, 0), (8, 4), (10**6, 0)])
+def test_shapley_equals_subset_enumeration(monkeypatch, leaves, bits):
+    """Whatever is tabulated together, and for tables of all patterns or of those that occur."""
+    monkeypatch.setattr(at, "TABLE_LEAVES", leaves)
+    monkeypatch.setattr(at, "TABLE_BITS", bits)
+    rnd = np.random.default_rng(11)
+    trees = [random_tree(rnd, 5, 7) for _ in range(3)] + [random_tree(rnd, 5, 0)]
+    x = rnd.integers(-1, 7, (40, 5)).astype(float)
+    got = at.shapley_block(trees, x)
+    for row in range(0, 40, 5):
+        assert np.allclose(got[row], enumerated(trees, x[row], 5), atol=1e-12)
+    full = [sum(coalition_value(t, r, set(range(5))) for t in trees) for r in x]
+    assert np.allclose(got.sum(axis=1) + sum(t.base() for t in trees), full, atol=1e-12)
+
+
+def test_tree_shap_additivity(spark):
+    data, model = small_forest(spark)
     pred = model.transform(data).select("row_id", "prediction")
-    chk = shap.join(pred, "row_id").select(
-        (F.col("base_value") + F.aggregate("phi", F.lit(0.0), lambda a, b: a + b) - F.col("prediction")).alias("e"))
-    worst = chk.agg(F.max(F.abs("e"))).first()[0]
-    assert worst < 1e-6
+    for groups in (1, 3, 50):
+        shap = at.tree_shap(data, model, groups=groups)
+        chk = shap.join(pred, "row_id").select(
+            (F.col("base_value") + F.aggregate("phi", F.lit(0.0), lambda a, b: a + b) - F.col("prediction")).alias("e"))
+        row = chk.agg(F.max(F.abs("e")), F.count("*")).first()
+        assert row[0] < 1e-6 and row[1] == data.count()
+
+
+def test_tree_shap_of_a_fitted_forest_is_exact(spark):
+    data, model = small_forest(spark, trees=3, depth=6, rows=300)
+    trees = at.read_trees(at.node_table(spark, model), at.tree_weights(model))
+    rows = {r["row_id"]: r["features"].toArray() for r in data.limit(6).collect()}
+    got = {r["row_id"]: r["phi"] for r in at.tree_shap(data, model).collect()}
+    assert len(got) == data.count()
+    for k, x in rows.items():
+        want = enumerated(trees, x, 3)
+        assert np.allclose(got[k], want, rtol=1e-9, atol=1e-6)
+
+
+def test_tree_groups_hold_their_bound():
+    sizes = dict(enumerate([9, 1, 5, 5, 30, 2, 2]))
+    for least, most in ((1, 100), (3, 100), (1, 12), (50, 100), (2, 1)):
+        groups = at.tree_groups(sizes, least, most)
+        assert sorted(t for g in groups for t in g) == sorted(sizes) and len(groups) >= min(least, len(sizes))
+        assert all(len(g) == 1 or sum(sizes[t] for t in g) <= most for g in groups)
 
 
 def test_alert_stream_equals_batch(spark):
