@@ -7,14 +7,15 @@ stacked into one frame and scored by one grouped aggregate.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.ml.truncate import Grid, score_candidates, without_small_splits
 from quarry.operators.stats import metric_mean, regression_metrics
 
 
@@ -51,29 +52,32 @@ def cross_validate(estimators: Mapping[str, object], data: DataFrame, key: str =
     return per_fold, metric_mean(per_fold, by=["model"])
 
 
-def grid_search(estimator, grid: Mapping[object, Sequence], data: DataFrame, fold_col: str = "fold",
-                parallelism: int = 4, k: int = 5):
-    """Exhaustive grid, k folds given by ``fold_col``, scored by R^2,
-    best refit on all rows.  ``parallelism`` fits several candidates at once
-    (the candidates share the cached training frame)."""
-    builder = ParamGridBuilder()
-    for param, values in grid.items():
-        builder = builder.addGrid(param, list(values))
-    maps = builder.build()
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps,
-                        evaluator=RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName="r2"),
-                        foldCol=fold_col, numFolds=k, parallelism=parallelism, seed=42)
-    return cv.fit(data), maps
-
-
-def grid_table(spark, cv_model, maps) -> DataFrame:
-    """The grid as rows: each parameter value and its mean CV R^2."""
-    rows = []
-    for pm, score in zip(maps, cv_model.avgMetrics):
-        params = {p.name: v for p, v in pm.items()}
-        rows.append((int(params.get("numTrees", 0)), int(params.get("maxDepth", 0)),
-                     int(params.get("minInstancesPerNode", 0)), float(score)))
-    return spark.createDataFrame(rows, "num_trees int, max_depth int, min_instances int, mean_r2 double")
+def grid_search(estimator: RandomForestRegressor, grid: Grid, data: DataFrame, fold_col: str = "fold", k: int = 5,
+                parallelism: int = 5) -> tuple[DataFrame, RandomForestRegressionModel]:
+    """Every candidate of ``grid`` scored by mean R^2 over ``k`` folds, and
+    the best refit on all rows.
+
+    ``k`` fits and a refit: per fold one forest is grown to the largest depth and
+    number of trees, and all candidates are read off it cut short
+    (``ml.truncate``).  Of equal scores the first candidate wins.  Returns the
+    scores (a row per candidate) and the refit model.
+    """
+    spark = data.sparkSession
+    deep = {estimator.maxDepth: max(grid.depths), estimator.numTrees: max(grid.trees)}
+
+    def fit(fold: int):
+        return fold, estimator.fit(data.filter(F.col(fold_col) != fold), deep)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        forests = dict(pool.map(fit, range(k)))
+    r2 = score_candidates(data, forests, grid, fold_col).groupBy("candidate").agg(F.avg("r2").alias("mean_r2"))
+    scores = {r["candidate"]: r["mean_r2"] for r in r2.collect()}  # one number per candidate
+    rows = [(*c, scores[i]) for i, c in enumerate(grid.candidates())]
+    best = max(rows, key=lambda r: -math.inf if r[3] is None else r[3])
+    table = spark.createDataFrame([(*r, r is best) for r in rows],
+                                  "num_trees int, max_depth int, min_samples_split int, mean_r2 double, is_best boolean")
+    refit = estimator.fit(data, {estimator.numTrees: best[0], estimator.maxDepth: best[1]})
+    return table, without_small_splits(spark, refit, best[2])
 
 
 def overfit_gap(models: Mapping[str, object], train: DataFrame, test: DataFrame) -> DataFrame:

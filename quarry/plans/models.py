@@ -8,8 +8,7 @@ out-of-fold predictions are kept for the other keys.
 Spark-side settings that differ from the reference's estimators, all stated
 in the README: the "default" forest is capped at depth 12 (Spark grows trees
 level by level, depth 30 costs minutes per fit even at sf0.01); the
-Shapley attribution explains that forest; the grid's third axis uses
-``minInstancesPerNode`` in place of ``min_samples_split``.
+Shapley attribution explains that forest.
 """
 
 from __future__ import annotations
@@ -22,12 +21,14 @@ from quarry.ml import models as mm
 from quarry.ml import scenario as sc
 from quarry.ml import stack as sk
 from quarry.ml import validate as va
+from quarry.ml.truncate import Grid
 from quarry.plans import fixtures as fx
 from quarry.plans.registry import query
 from quarry.session import scratch_path
 
 DEFAULT_FOREST_DEPTH = 12
-GRID = {"numTrees": [50, 100, 150], "maxDepth": [4, 6, 8], "minInstancesPerNode": [1, 3, 5]}
+#: The reference's axes: number of trees, depth, least rows to split.
+GRID = Grid((50, 100, 150), (4, 6, 8), (2, 5, 10))
 WHAT_IF_COLUMN, WHAT_IF_VALUES = "l_quantity", [1.0, 25.0, 50.0]
 
 _LABS: dict = {}
@@ -66,7 +67,7 @@ class Lab:
             if name == "stacking_ensemble":
                 self._models[name] = self.stacked()
             elif name == "tuned_forest":
-                self._models[name] = self.grid()[0].bestModel
+                self._models[name] = self.grid()[1]
             else:
                 self._models[name] = self.estimators()[name].fit(self.train)
         return self._models[name]
@@ -86,10 +87,10 @@ class Lab:
                                fitted={n: self.model(n) for n in names})
 
     def grid(self):
+        """The scores of all candidates and the best one's refit model."""
         if "_grid" not in self._models:
             rf = mm.random_forest().setCacheNodeIds(True).setMaxMemoryInMB(1024)
-            grid = {getattr(rf, k): v for k, v in GRID.items()}
-            self._models["_grid"] = va.grid_search(rf, grid, self.train, parallelism=8)
+            self._models["_grid"] = va.grid_search(rf, GRID, self.train)
         return self._models["_grid"]
 
     def shap(self):
@@ -232,10 +233,7 @@ def attribution_row(spark, sf_dir):
 @query("grid_search")
 def grid_search(spark, sf_dir):
     """3x3x3 grid, 5 folds, R^2; the best is flagged."""
-    cv_model, maps = lab(spark, sf_dir).grid()
-    table = va.grid_table(spark, cv_model, maps)
-    best = table.select(F.max("mean_r2")).scalar()
-    return table.withColumn("is_best", F.col("mean_r2") == best)
+    return lab(spark, sf_dir).grid()[0]
 
 
 @query("overfit_gap")

@@ -10,6 +10,8 @@ from quarry.ml import attribute as at
 from quarry.ml import features as mf
 from quarry.ml import models as mm
 from quarry.ml import stack as sk
+from quarry.ml import truncate as tr
+from quarry.ml import validate as va
 from quarry.ml.scenario import what_if
 from quarry.operators import booking as bk
 from quarry.operators.monitor import alert_escalation, latency_alerts
@@ -229,3 +231,62 @@ def test_attribution_explains_the_reported_forest(spark):
         (F.first("base_value") + F.sum("phi")).alias("v")).collect()}
     want = {r["row_id"]: r["prediction"] for r in forest.transform(lb.train).collect()}
     assert all(abs(told[k] - want[k]) < 1e-6 for k in want)
+
+
+def unbagged(trees, depth):
+    return mm.random_forest(num_trees=trees, max_depth=depth).setBootstrap(False).setSubsamplingRate(1.0)
+
+
+def test_cut_trees_equal_trees_grown_shallower(spark):
+    """On the same bagged rows (one seed, one number of trees) a depth cut is the
+    tree grown to that depth."""
+    data, deep = small_forest(spark, trees=5, depth=7)
+    trees = at.read_trees(at.node_table(spark, deep), [1.0] * 5)
+    rows = data.orderBy("row_id").collect()
+    x = np.array([r["features"].toArray() for r in rows])
+    cut = sum(tr.cut_predictions(t, x.T, [2, 4, 7, 30], [2]) for t in trees)[:, 0] / 5
+    for i, depth in enumerate([2, 4, 7, 7]):
+        grown = deep if depth == 7 else mm.random_forest(num_trees=5, max_depth=depth).fit(data)
+        want = [r["prediction"] for r in grown.transform(data).orderBy("row_id").collect()]
+        assert np.allclose(cut[i], want, rtol=1e-12)
+
+
+def test_cut_trees_do_not_split_small_nodes(spark):
+    """Without bagging a node's rows are known: its prediction is their mean, and
+    exactly the nodes with enough rows are split."""
+    data, _ = small_forest(spark, trees=1, depth=2, rows=250)
+    model = unbagged(1, 8).fit(data)
+    tree = at.read_trees(at.node_table(spark, model), [1.0])[0]
+    rows = data.collect()
+    x, y = np.array([r["features"].toArray() for r in rows]), np.array([r["label"] for r in rows])
+
+    def grown(own, node, least, depth):
+        if depth == 0 or tree.left[node] < 0 or own.sum() < least:
+            return np.where(own, y[own].mean(), 0.0)
+        left = own & (x[:, tree.feature[node]] <= tree.threshold[node])
+        return grown(left, tree.left[node], least, depth - 1) + grown(own & ~left, tree.right[node], least, depth - 1)
+
+    got = tr.cut_predictions(tree, x.T, [3, 8], [2, 5, 10, 1000])
+    for i, depth in enumerate([3, 8]):
+        for k, least in enumerate([2, 5, 10, 1000]):
+            assert np.allclose(got[i, k], grown(np.ones(len(y), bool), 0, least, depth))
+    for k, least in enumerate([2, 5, 10, 1000]):
+        loaded = tr.without_small_splits(spark, model, least).transform(data)
+        assert np.allclose([r["prediction"] for r in loaded.collect()], got[1, k])
+
+
+def test_grid_scores_equal_separate_fits(spark):
+    data, _ = small_forest(spark, trees=1, depth=1, rows=500)
+    data = mf.fold_column(data, "row_id", k=2)
+    grid = tr.Grid((1, 2), (2, 5), (2, 6))
+    table, best = va.grid_search(unbagged(1, 1), grid, data, k=2)
+    got = {(r.num_trees, r.max_depth, r.min_samples_split): r.mean_r2 for r in table.collect()}
+    assert set(got) == set(grid.candidates()) and [r.is_best for r in table.collect()].count(True) == 1
+    for (trees, depth, least), r2 in got.items():  # unbagged trees are alike, so their number does not matter
+        scores = []
+        for fold in range(2):
+            m = tr.without_small_splits(spark, unbagged(trees, depth).fit(data.filter(F.col("fold") != fold)), least)
+            own = m.transform(data.filter(F.col("fold") == fold)).select("label", "prediction").toPandas()
+            scores.append(1 - ((own.label - own.prediction) ** 2).sum() / ((own.label - own.label.mean()) ** 2).sum())
+        assert math.isclose(r2, np.mean(scores), rel_tol=1e-9)
+    assert best.transform(data).count() == data.count()
