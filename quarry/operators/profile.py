@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.operators.quantiles import DEFAULT_ACCURACY, exact_quantiles
+from quarry.operators.quantiles import exact_quantiles
 from quarry.operators.relational import columns_of_type
 
 
@@ -149,11 +149,11 @@ def quantile_columns(col: str, probs: Sequence[float], exact: bool = True,
 
 
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-              method: str = "exact", accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """(by..., n, q array) per group.  ``exact``: bounded two-pass exact
-    method (``operators.quantiles``); ``approx``: one-pass sketch."""
+              method: str = "exact", accuracy: int = 10_000) -> DataFrame:
+    """(by..., n, q array) per group.  ``exact``: radix selection
+    (``operators.quantiles``); ``approx``: one-pass sketch."""
     if method == "exact":
-        return exact_quantiles(df, col, probs, by, accuracy)
+        return exact_quantiles(df, col, probs, by)
     x = F.col(col).cast("double")
     data = df.filter(x.isNotNull())
     agg = [F.count(F.lit(1)).alias("n"), quantile_columns(col, probs, exact=(method == "percentile")).alias("q")]

@@ -1,8 +1,11 @@
 import math
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from quarry.operators import profile as pr
+from quarry.operators import quantiles as qn
 from quarry.operators.clean import clean_table, impute_values
 
 
@@ -95,30 +98,70 @@ def test_value_and_category_counts(spark):
     assert got == {("a", "x"): 2, ("a", "y"): 1, ("b", "p"): 2}
 
 
-def test_bracketed_quantiles_match_numpy(spark):
-    from quarry.operators.quantiles import exact_quantiles
+PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
 
+
+def same(got, vals, probs=PROBS):
+    with np.errstate(invalid="ignore"):
+        want = np.quantile(np.array(vals), probs)
+    assert np.array_equal(got, want, equal_nan=True), (got, want)
+    return True
+
+
+def test_ordered_key_is_the_order_of_the_bits(spark):
+    rng = np.random.default_rng(5)
+    bits = rng.integers(-2**63, 2**63, 20_000, dtype=np.int64)
+    near = np.array([s * 2.0**e for e in range(-1074, 1024) for s in (1, -1)])
+    vals = np.concatenate([bits.view(np.float64), near, np.nextafter(near, np.inf), np.nextafter(near, -np.inf),
+                           [0.0, -0.0, np.inf, -np.inf, 5e-324, 1.7976931348623157e308]])
+    vals = vals[~np.isnan(vals)]
+    mag = np.abs(vals).view(np.int64)
+    want = np.where(vals < 0, -mag, mag)
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "i int, v double")
+    got = {r.i: r.k for r in qn.with_ordered_key(df, "v", "k").collect()}
+    assert [got[i] for i in range(len(vals))] == want.tolist()
+    nan = qn.with_ordered_key(spark.createDataFrame([(float("nan"),)], "v double"), "v", "k").first().k
+    assert nan > max(want)
+
+
+def test_radix_quantiles_match_numpy(spark, monkeypatch):
     rng = np.random.default_rng(11)
-    big = np.round(rng.lognormal(3, 1, 6000), 1)          # many ties, long tail
-    hot = np.concatenate([np.full(3000, 7.0), rng.normal(size=500)])  # one value holds most rows
-    rows = [("big", float(v)) for v in big] + [("hot", float(v)) for v in hot] + [("tiny", 1.0), ("tiny", 4.0)]
-    df = spark.createDataFrame(rows, "g string, v double")
-    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
-    got = {r.g: r.q for r in exact_quantiles(df, "v", probs, by=["g"], accuracy=100).collect()}
-    for g, vals in (("big", big), ("hot", hot), ("tiny", np.array([1.0, 4.0]))):
-        assert np.allclose(got[g], np.percentile(vals, [p * 100 for p in probs]), rtol=0, atol=1e-9), g
-    glob = exact_quantiles(df.filter("g = 'big'"), "v", probs, accuracy=100).first().q
-    assert np.allclose(glob, np.percentile(big, [p * 100 for p in probs]))
-
-
-def test_quantile_schema_same_on_both_paths(spark):
-    from quarry.operators.quantiles import exact_quantiles
-
-    df = spark.range(500).selectExpr("CAST(id AS DOUBLE) AS v")
-    small = exact_quantiles(df, "v", [0.5], accuracy=10_000)     # whole-range bracket
-    large = exact_quantiles(df, "v", [0.5], accuracy=10)         # sketch bracket
-    assert small.schema == large.schema
-    assert small.first().q == large.first().q == [249.5]
-    with_inf = spark.createDataFrame([(float("-inf"),), (1.0,), (2.0,)], "v double")
-    got = exact_quantiles(with_inf, "v", [0.0, 0.5]).first().q       # -inf data is not "below the bracket"
-    assert np.allclose(got, np.percentile([-np.inf, 1.0, 2.0], [0, 50]), equal_nan=True)
+    data = {
+        "ties": np.round(rng.lognormal(3, 1, 6000), 1),
+        "tail": np.exp(rng.normal(0, 150, 3000)) * rng.choice([-1, 1], 3000),
+        "hot": np.concatenate([np.full(3000, 7.0), rng.normal(size=500)]),
+        "ends": np.concatenate([np.full(900, 1.0), np.full(900, 2.0), np.linspace(1, 2, 20)]),
+        "tiny": np.array([1.0, 4.0]), "one": np.array([-3.5]),
+        "infinite": np.array([-np.inf, -np.inf, 1.0, 2.0, np.inf]), "zeros": np.array([0.0, -0.0, 0.0, -1e-320]),
+        None: np.array([5.0, 6.0, 9.0]),
+    }
+    rows = [(g, float(v)) for g, vals in data.items() for v in vals] + [("ties", None), ("gone", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    for most in (qn.STATE_ROWS, 2):  # wanted digits as literal rows, and as a table
+        monkeypatch.setattr(qn, "STATE_ROWS", most)
+        got = {r.g: (r.n, r.q) for r in qn.exact_quantiles(df, "v", PROBS, by=["g"]).collect()}
+        assert set(got) == set(data)
+        assert all(got[g][0] == len(vals) and same(got[g][1], vals) for g, vals in data.items())
+    assert same(qn.exact_quantiles(df.filter("g = 'tail'"), "v", PROBS).first().q, data["tail"])
+    assert qn.exact_quantiles(df.filter("g = 'gone'"), "v", PROBS).count() == 0
+
+
+def test_radix_quantiles_digit_by_digit(spark, monkeypatch):
+    """With digits of four bits every round is taken."""
+    monkeypatch.setattr(qn, "DIGIT", 4)
+    rng = np.random.default_rng(2)
+    data = {"a": rng.normal(size=700), "b": 1e9 + rng.integers(0, 5, 400) * 1e-6}
+    df = spark.createDataFrame([(g, float(v)) for g, vals in data.items() for v in vals], "g string, v double")
+    got = {r.g: r.q for r in qn.exact_quantiles(df, "v", PROBS, by=["g"]).collect()}
+    assert all(same(got[g], vals) for g, vals in data.items())
+
+
+def test_radix_quantiles_of_a_large_group(spark):
+    """12 million distinct values in one group: no task holds them, and the plans
+    have no gathering of values."""
+    n = 12_000_000
+    df = spark.range(n).select(((F.col("id") * 7919 % n).cast("double") / 3).alias("v"))
+    out = qn.exact_quantiles(df, "v", [0.25, 0.5])
+    assert out.first().q == pytest.approx([(n - 1) * p / 3 for p in (0.25, 0.5)], rel=1e-15)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(_x" not in plan and "percentile" not in plan
