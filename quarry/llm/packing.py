@@ -22,11 +22,14 @@ repeated rows and rows without a ``doc_id`` are packed like any other row.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,79 +46,158 @@ PIECE = ("doc_id long, piece int, start long, length long, ids_crc32 long, part
 class ChunkIds(dict):
     """Token ids (little-endian uint32 bytes) of chunks of a text between white
     space.  The tokenizer folds white space, lower-cases and splits without
-    looking past white space, so chunks stand for themselves."""
+    looking past white space, so chunks stand for themselves.
 
-    LIMIT = 700_000
+    Two generations of about ``LIMIT`` chunks each are kept: when the younger is
+    full it becomes the older, and what is still in use moves back."""
+
+    LIMIT = 300_000
+    #: Longer chunks are not kept.
+    LONGEST = 64
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-    def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
-        vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+        self.older: dict[str, bytes] = {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        # For words that are folded already and stand between spaces.
+        self.lean = Tokenizer.from_file(path)
+        self.lean.no_truncation()
+        self.lean.no_padding()
+        self.lean.normalizer = normalizers.Sequence([])
+        self.lean.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         #: Whether a token id ends a word.
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-
-    def learn(self, chunks: set[str]) -> None:
-        """Words that ``chunks`` need, encoded in one call: a word of letters is
-        one pre-token, and its last token is marked as a word's end."""
-        words = set()
-        for c in chunks:
-            low = c.lower() if c.isascii() else c
-            words.add(low[:-1] if low[-1] in ",." and len(low) > 1 else low)
-        words = [w for w in words if len(w) <= 40 and w.isalpha() and w not in self]
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        #: The ids of what stems may end in.
+        self.comma, self.stop = (int.from_bytes(x, "little") for x in self.each([",", "."]))
+
+    def each(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def words(self, words: list[str]) -> dict[str, bytes]:
+        """Lower-case words of letters, encoded in one call: each is one pre-token,
+        and its last token is marked as a word's end."""
+        if not words:
+            return {}
+        ids = np.array(self.lean.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         last = np.flatnonzero(self.ends[ids]) + 1
-        if len(last) == len(words):
-            raw, at = ids.tobytes(), [0, *(4 * last).tolist()]
-            self.update(zip(words, [raw[a:b] for a, b in zip(at, at[1:])]))
-
-    def __missing__(self, chunk: str) -> bytes:
-        low = chunk.lower() if chunk.isascii() else chunk
-        if low != chunk:
-            out = self[low]
-        elif len(chunk) > 1 and chunk[-1] in ",." and chunk[:-1].isalpha():
-            out = self[chunk[:-1]] + self[chunk[-1]]
-        else:
-            out = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(chunk) <= 40:
-            self[chunk] = out
-        return out
-
-    def join(self, text: str) -> bytes:
+        if len(last) != len(words):
+            return dict(zip(words, self.each(words)))
+        raw, at = ids.tobytes(), [0, *(4 * last).tolist()]
+        return dict(zip(words, [raw[a:b] for a, b in zip(at, at[1:])]))
+
+    def learn(self, chunks: list[str]) -> dict[str, bytes]:
+        """Words of letters are encoded together, other chunks as they are."""
+        plain = [c for c in chunks if c.isalpha()]
+        rest = [c for c in chunks if not c.isalpha()]
+        return self.words(plain) | dict(zip(rest, self.each(rest)))
+
+    def of(self, chunks: list[str]) -> list[bytes]:
+        """Ids of different chunks; those not seen before are encoded together."""
         if len(self) >= self.LIMIT:
+            self.older = dict(self)
             self.clear()
-        chunks = text.split()
-        got = list(map(self.get, chunks))
-        if None in got:
-            missing = {c for c, v in zip(chunks, got) if v is None}
-            if len(missing) > 1:
-                self.learn(missing)
-            got = map(self.__getitem__, chunks)
-        return b"".join(got)
-
-
-#: Characters for which chunks are not safe: separators that str.split and the
-#: tokenizer may not agree on.  Texts with these, with characters from the
-#: combining marks on, or with a special token's start go to the tokenizer whole.
-UNSAFE = frozenset("\x1c\x1d\x1e\x1f\x85\xa0")
+        out = list(map(self.get, chunks))
+        gone = [i for i, v in enumerate(out) if v is None]
+        found = list(map(self.older.get, [chunks[i] for i in gone]))
+        new = self.learn([chunks[i] for i, v in zip(gone, found) if v is None])
+        for i, v in zip(gone, found):
+            c = chunks[i]
+            out[i] = v = new[c] if v is None else v
+            if len(c) <= self.LONGEST:
+                self[c] = v
+        return out
+
+
+#: Texts for which chunks are not safe go to the tokenizer whole: those with
+#: separators that are white space to some only, with a dotted capital I (its lower
+#: case is two characters), with characters from the combining marks on, or with a
+#: special token's start.
+UNSAFE = r"[\x1c-\x1f\x{85}\x{a0}\x{130}\x{300}-\x{10ffff}]|<\|"
+SPACE = re.compile(r"[\x20\x09-\x0D]")
+#: Bytes of texts that are taken together, and characters of a slice of a longer text.
+BLOCK = 1 << 22
 _LOADED: dict[str, ChunkIds] = {}
 
 
 def chunk_ids(path: str) -> ChunkIds:
     if path not in _LOADED:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        _LOADED[path] = ChunkIds(tokenizer)
+        # A task has one core.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        _LOADED[path] = ChunkIds(path)
     return _LOADED[path]
 
 
-def text_ids(text: str, cache: ChunkIds) -> bytes:
-    if "<|" in text or (not text.isascii() and max(text) >= "̀") or not UNSAFE.isdisjoint(text):
-        return np.array(cache.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-    return cache.join(text)
+def _slices(text: str):
+    """A text cut at white space."""
+    at = 0
+    while len(text) - at > BLOCK and (space := SPACE.search(text, at + BLOCK)):
+        yield text[at:space.start()]
+        at = space.start()
+    yield text[at:]
+
+
+def _placed(which: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For runs of ``length[k]`` numbers one after the other: the places of the runs
+    ``which``, and where each of those begins in the result (and the last ends)."""
+    n = length[which]
+    upto = np.concatenate([[0], np.cumsum(n)])
+    begin = np.cumsum(length) - length
+    return np.repeat(begin[which] - upto[:-1], n) + np.arange(upto[-1]), upto
+
+
+def chunk_table(chunks: pa.Array, cache: ChunkIds) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of different chunks, one after the other, and their numbers.  A chunk is
+    looked up in lower case, and without a comma or a full stop after a letter or a
+    digit, which is a token of its own."""
+    low = pc.utf8_lower(chunks)
+    marked = pc.match_substring_regex(low, r"[\pL\pN][,.]$")
+    stems = pc.if_else(marked, pc.utf8_slice_codeunits(low, 0, -1), low).dictionary_encode()
+    distinct = stems.dictionary.to_pylist()
+    values = [b"" if c == "" else v for c, v in zip(distinct, cache.of([c or "." for c in distinct]))]
+    ids = np.frombuffer(b"".join(values), "<u4")
+    place, upto = _placed(stems.indices.to_numpy(), np.fromiter(map(len, values), np.int64, len(values)) // 4)
+    tail = np.asarray(marked)
+    mark = np.where(np.asarray(pc.ends_with(low, ",")), cache.comma, cache.stop)
+    return np.insert(ids[place], upto[1:][tail], mark[tail]), np.diff(upto) + tail
+
+
+def block_ids(texts: pa.Array, cache: ChunkIds) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of safe texts, one after the other, and where each begins (and the
+    last ends).  A chunk's ids are looked up once, however often it occurs."""
+    lists = pc.ascii_split_whitespace(texts)
+    chunks = lists.flatten().dictionary_encode()
+    ids, length = chunk_table(chunks.dictionary, cache)
+    place, upto = _placed(chunks.indices.to_numpy(), length)
+    at = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+    return ids[place], upto[at]
+
+
+def texts_ids(texts: pa.Array, cache: ChunkIds) -> list[bytes]:
+    """Token ids of every text (null: none), as little-endian uint32 bytes."""
+    texts = texts.fill_null("")
+    out: list[bytes] = [b""] * len(texts)
+    odd = np.asarray(pc.match_substring_regex(texts, UNSAFE))
+    size = pc.binary_length(texts).to_numpy()
+    for i in np.flatnonzero(odd):
+        out[i] = cache.each([texts[i].as_py()])[0]
+    for i in np.flatnonzero(~odd & (size > BLOCK)):
+        out[i] = b"".join(block_ids(pa.array([part]), cache)[0].tobytes() for part in _slices(texts[i].as_py()))
+    rest = np.flatnonzero(~odd & (size <= BLOCK))
+    block = np.cumsum(size[rest]) // BLOCK
+    for k in np.unique(block):
+        own = rest[block == k]
+        ids, at = block_ids(texts.take(pa.array(own)), cache)
+        raw, at = ids.tobytes(), (4 * at).tolist()
+        for i, a, b in zip(own.tolist(), at, at[1:]):
+            out[i] = raw[a:b]
+    return out
 
 
 def _pieces(path: str, limit: int, end: int):
@@ -126,8 +208,8 @@ def _pieces(path: str, limit: int, end: int):
         last = np.array([end], "<u4").tobytes()
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = text_ids(text.as_py() or "", cache) + last
+            for doc_id, ids in zip(batch.column(0).to_pylist(), texts_ids(batch.column(1), cache)):
+                ids += last
                 for i, at in enumerate(range(0, len(ids), 4 * limit)):
                     piece = ids[at:at + 4 * limit]
                     n = len(piece) // 4

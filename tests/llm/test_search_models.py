@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tests.llm.conftest import frame
 from tests.llm.test_operators import lower, rows
 
-from quarry.llm import neighbours, orchard, retrieval
+from quarry.llm import neighbours, orchard, packing, retrieval
+from quarry.llm.queries import tokenizer
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 ITEMS = "item_id long, text string"
@@ -213,3 +214,22 @@ def test_orchard_small_and_empty(spark):
     assert none.count() == 0 and none.columns[:3] == ["vec_id", "cluster", "distance"]
     with pytest.raises(Exception, match="too large"):
         orchard.clusters(spark.createDataFrame([(1, [1e30, 0.0], 0)], VECTORS), k=1, dim=2).count()
+
+
+# ---- op6: ids by distinct chunks
+def test_packing_ids_equal_the_tokenizer(monkeypatch):
+    import pyarrow as pa
+
+    cache = packing.ChunkIds(tokenizer("word_bpe_49k.json"))
+    rnd = random.Random(9)
+    words = ["Hello", "hello,", "WORLD.", "don't", "it's", "x2,", "3.", "***,", "naïve", "ÉTÉ.", "ß", "ǅ", "a.b", "…", "-", "İstanbul",
+             "12,5", ",", ".", "ªº", "co-op.", "<|endoftext|>", "<|", "é", "　", "日本", "q" * 90, "\xa0x", "a\x85b"]
+    texts = [" ".join(rnd.choices(words, k=n)) for n in (0, 1, 2, 5, 9, 30, 200)] * 3
+    texts += [None, "", "  \n\t ", " lead", "tail ", "a  b\x0bc\x0cd\re", *words, "two\nlines, each.\n"]
+    monkeypatch.setattr(packing.ChunkIds, "LIMIT", 5)
+    for block in (packing.BLOCK, 40):
+        monkeypatch.setattr(packing, "BLOCK", block)
+        got = packing.texts_ids(pa.array(texts, pa.string()), cache)
+        for t, ids in zip(texts, got):
+            want = cache.tokenizer.encode(t or "", add_special_tokens=False).ids
+            assert np.frombuffer(ids, "<u4").tolist() == want, t
