@@ -5,9 +5,9 @@ words, without punctuation at their ends, where a base match (or several that
 overlap) stands as one unit.  The lexical patterns of a unit are the two words
 before it, the two after it, and the word on either side, the same way for seeds
 and candidates.  Whatever stands in a pattern is a candidate for it: any word, and
-of words with digits and no letters also runs of up to ``RUN`` (identifiers written
-with spaces).  Beside a one-sided pattern a run of bare digit groups counts whole;
-between two words each run counts that fills the gap.
+runs of words with digits and no letters (identifiers written with spaces).  A run
+counts whole, whatever its length: beside a one-sided pattern all the bare digit
+groups in a row, between two words all the words without letters that fill the gap.
 
 Patterns and instances form a bipartite graph with one edge per distinct pair.  In
 each round a pattern's confidence for a kind is the weight of that kind among all
@@ -22,7 +22,16 @@ always stay.
 
 Everything runs on built-in functions.  The edges of all words are never laid out:
 a round looks through the texts for what stands in the patterns that have got enough
-instances since the last one, and for the instances accepted since then.
+instances since the last one, and for the instances accepted since then.  It does so
+by slices of the values' hashes (``SLICES``), the first a small one: the distinct
+values seen so far are a lower bound of how many stand in a pattern, so one whose
+weight cannot reach ``pattern_floor`` over that bound is left, and looked at again
+only when its weight has risen.  What is laid out of the others is in proportion to
+their instances, and no value of an accepted pattern is ever left out.
+
+Work grows with the length of a text, also where it has very many matches: places
+are found by running sums over its words and merged by running maxima, and a text is
+cut block by block.
 
 The patterns match what the plain forms match: possessive quantifiers and the
 look-behind only remove retries inside a run that cannot succeed, so that a very
@@ -48,8 +57,10 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: Most words of a spaced number: 15 digits in pairs, 19 in fours.
-RUN = 8
+#: Shares of the values (of 64) by which a round looks for what stands in patterns.
+SLICES = (1, 7, 56)
+#: Characters of a block of a text that is cut.
+BLOCK = 8192
 EDGES = ".,;:!?()[]{}\"'"
 #: As an SQL literal.
 EDGES_SQL = "'" + EDGES.replace("'", "\\'") + "'"
@@ -99,26 +110,38 @@ def base_matches(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, materialize(each.where(ok).select("row", "th", "kind", "start", "stop", "m"), "base_matches")
 
 
+def _cut(start: str, stop: str) -> str:
+    """SQL: the characters from ``start`` up to ``stop`` of the text in ``blocks``."""
+    return f"""if({stop} <= {start}, '', array_join(transform(
+        sequence(({start}) div {BLOCK}, ({stop} - 1) div {BLOCK}), k -> substring(get(blocks, cast(k as int)),
+            cast(greatest({start} - k * {BLOCK}, 0) + 1 as int),
+            cast(least({stop} - k * {BLOCK}, {BLOCK}) - greatest({start} - k * {BLOCK}, 0) as int))), ''))"""
+
+
 def text_units(docs: DataFrame, matches: DataFrame) -> DataFrame:
     """``th, pieces``: each text cut at its base matches.  A piece is a text without
     a match, where it starts, and the seeds (``kind, value``) right after it."""
-    spans = matches.groupBy("th").agg(F.array_sort(F.collect_set(F.struct(
-        "start", "stop", "kind", F.lower("m").alias("value")))).alias("s"))
-    spans = small_side(materialize(spans, "base_spans"), 400)
+    in_order = Window.partitionBy("th").orderBy("start", "stop", "kind", "value")
+    before = F.max("stop").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    spans = matches.select("th", "start", "stop", "kind", F.lower("m").alias("value")).distinct()
+    # Matches that overlap are one unit.
+    spans = spans.withColumn("first", F.coalesce(F.col("start") >= before, F.lit(True)).cast("int"))
+    spans = spans.withColumn("nth", F.sum("first").over(in_order))
+    units = spans.groupBy("th", "nth").agg(F.min("start").alias("a"), F.max("stop").alias("b"), F.transform(
+        F.array_sort(F.collect_list(F.struct("start", "stop", "kind", "value"))),
+        lambda x: F.struct(x["kind"].alias("kind"), x["value"].alias("value"))).alias("seeds"))
+    units = units.groupBy("th").agg(F.array_sort(F.collect_list(F.struct("a", "b", "seeds"))).alias("u"))
+    units = small_side(materialize(units, "base_units"), 400)
     t = docs.select(F.coalesce("text", F.lit("")).alias("t"), F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("th"))
-    seed = "array(named_struct('kind', x.kind, 'value', x.value))"
-    joined = F.expr(f"""aggregate(s, cast(array() as array<struct<a:int,b:int,seeds:array<struct<kind:string,value:string>>>>),
-        (acc, x) -> if(size(acc) > 0 and x.start < element_at(acc, -1).b,
-            concat(slice(acc, 1, size(acc) - 1), array(named_struct('a', element_at(acc, -1).a,
-                'b', greatest(element_at(acc, -1).b, x.stop), 'seeds', concat(element_at(acc, -1).seeds, {seed})))),
-            concat(acc, array(named_struct('a', x.start, 'b', x.stop, 'seeds', {seed})))))""")
-    t = t.join(spans, "th", "left").select("th", "t", joined.alias("u"))
-    whole = F.expr("array(named_struct('at', 0, 'p', t, 'seeds', cast(null as array<struct<kind:string,value:string>>)))")
-    cut = F.expr("""concat(
-        transform(u, (x, i) -> named_struct('at', coalesce(get(u, i - 1).b, 0), 'p', substring(t,
-            coalesce(get(u, i - 1).b, 0) + 1, x.a - coalesce(get(u, i - 1).b, 0)), 'seeds', x.seeds)),
-        array(named_struct('at', element_at(u, -1).b, 'p', substring(t, element_at(u, -1).b + 1), 'seeds',
-            cast(null as array<struct<kind:string,value:string>>))))""")
+    blocks = F.expr(f"transform(sequence(0, char_length(t) div {BLOCK}), k -> substring(t, k * {BLOCK} + 1, {BLOCK}))")
+    t = t.join(units, "th", "left").select("th", "t", "u", F.when(F.col("u").isNotNull(), blocks).alias("blocks"),
+                                           F.char_length("t").alias("size"))
+    none = "cast(null as array<struct<kind:string,value:string>>)"
+    whole = F.expr(f"array(named_struct('at', 0, 'p', t, 'seeds', {none}))")
+    cut = F.expr(f"""concat(
+        transform(u, (x, i) -> named_struct('at', coalesce(get(u, i - 1).b, 0),
+            'p', {_cut('coalesce(get(u, i - 1).b, 0)', 'x.a')}, 'seeds', x.seeds)),
+        array(named_struct('at', element_at(u, -1).b, 'p', {_cut('element_at(u, -1).b', 'size')}, 'seeds', {none})))""")
     return materialize(t.select("th", F.when(F.col("u").isNull(), whole).otherwise(cut).alias("pieces")), "pii_units")
 
 
@@ -136,26 +159,52 @@ def places(units: DataFrame) -> DataFrame:
         "u", lambda x: F.when(x["seeds"].isNotNull() | ~x["v"].rlike(r"^\P{L}*[0-9]\P{L}*$"), 0).when(
             x["v"].rlike(r"^\+?[0-9]+$"), 2).otherwise(1))).alias("c"))
 
-    def reach(window: str, least: int) -> str:
-        gap = f"cast(array_position(transform({window}, y -> y >= {least}), false) as int)"
-        return f"if({gap} = 0, size({window}), {gap} - 1)"
-
-    ahead = f"slice(c, i + 1, {RUN})"
-    behind = f"reverse(slice(c, greatest(1, i + 2 - {RUN}), least({RUN}, i + 1)))"
-    a = a.select("th", "u", "h", "c", *[F.expr(
-        f"if(c is null, null, transform(c, (x, i) -> if(x < {least}, 1, {reach(window, least)})))").alias(k)
-        for k, window, least in (("fwd", ahead, 2), ("bwd", behind, 2), ("run", ahead, 1))])
-    one = F.expr("""transform(u, (x, i) -> named_struct('i', i, 'n', 1, 'value', x.v, 'seeds', x.seeds, 'patterns', array(
-        if(i = 0 or get(fwd, i) > 1, null, xxhash64('L', coalesce(get(h, i - 2), 0L), get(h, i - 1))),
-        if(i + 1 = size(h) or get(bwd, i) > 1, null, xxhash64('R', get(h, i + 1), coalesce(get(h, i + 2), 0L))),
-        if(size(h) = 1, null, xxhash64('B', coalesce(get(h, i - 1), 0L), coalesce(get(h, i + 1), 0L))))))""")
-    more = F.expr("""flatten(transform(run, (m, i) -> if(m < 2, array(), transform(sequence(2, m), n -> named_struct(
-        'i', i, 'n', n, 'value', array_join(transform(slice(u, i + 1, n), x -> x.v), ' '),
-        'seeds', cast(null as array<struct<kind:string,value:string>>), 'patterns', array(
-        if(i = 0 or get(fwd, i) <> n, null, xxhash64('L', coalesce(get(h, i - 2), 0L), get(h, i - 1))),
-        if(i + n = size(h) or get(bwd, i + n - 1) <> n, null, xxhash64('R', get(h, i + n), coalesce(get(h, i + n + 1), 0L))),
-        if(i = 0 and n = size(h), null, xxhash64('B', coalesce(get(h, i - 1), 0L), coalesce(get(h, i + n), 0L)))))))))""")
-    return a.select("th", F.inline(F.when(F.col("c").isNull(), one).otherwise(F.concat(one, more))))
+    def runs(least: int) -> str:
+        """Where runs of at least two words of this kind start, and their last words."""
+        start = f"filter(sequence(0, size(c) - 1), i -> get(c, i) >= {least} and coalesce(get(c, i - 1), 0) < {least})"
+        last = f"filter(sequence(0, size(c) - 1), i -> get(c, i) >= {least} and coalesce(get(c, i + 1), 0) < {least})"
+        pairs = f"zip_with({start}, {last}, (s, e) -> named_struct('s', s, 'e', e))"
+        return f"if(c is null or size(c) < 2, cast(array() as array<struct<s:int,e:int>>), filter({pairs}, x -> x.e > x.s))"
+
+    a = a.select("th", "u", "h", "c", F.expr(runs(2)).alias("bare"), F.expr(runs(1)).alias("run"))
+    left, right = "xxhash64('L', coalesce(get(h, {i} - 2), 0L), get(h, {i} - 1))", "xxhash64('R', get(h, {i} + 1), coalesce(get(h, {i} + 2), 0L))"
+    both = "xxhash64('B', coalesce(get(h, {s} - 1), 0L), coalesce(get(h, {e} + 1), 0L))"
+    one = F.expr(f"""transform(u, (x, i) -> named_struct('i', i, 'n', 1, 'value', x.v, 'seeds', x.seeds, 'patterns', array(
+        if(i = 0 or coalesce(get(c, i) = 2 and get(c, i + 1) = 2, false), null, {left.format(i='i')}),
+        if(i + 1 = size(h) or coalesce(get(c, i) = 2 and get(c, i - 1) = 2, false), null, {right.format(i='i')}),
+        if(size(h) = 1, null, {both.format(s='i', e='i')}))))""")
+    no_seeds = "cast(null as array<struct<kind:string,value:string>>)"
+    value = "array_join(transform(slice(u, x.s + 1, x.e - x.s + 1), y -> y.v), ' ')"
+    beside = F.expr(f"""transform(bare, x -> named_struct('i', x.s, 'n', x.e - x.s + 1, 'value', {value}, 'seeds', {no_seeds},
+        'patterns', array(if(x.s = 0, null, {left.format(i='x.s')}), if(x.e + 1 = size(h), null, {right.format(i='x.e')}),
+            cast(null as bigint))))""")
+    between = F.expr(f"""transform(run, x -> named_struct('i', x.s, 'n', x.e - x.s + 1, 'value', {value}, 'seeds', {no_seeds},
+        'patterns', array(cast(null as bigint), cast(null as bigint),
+            if(x.e - x.s + 1 = size(h), null, {both.format(s='x.s', e='x.e')}))))""")
+    return a.select("th", F.inline(F.when(F.col("c").isNull(), one).otherwise(F.concat(one, beside, between))))
+
+
+def _laid_out(spread: DataFrame, seeds: DataFrame, wanted: DataFrame, floor: float) -> tuple[DataFrame, DataFrame]:
+    """``(edges, bounds)``: all values that stand in those of the ``wanted`` patterns
+    (``pattern, weight``) that can still reach ``floor``, and for every wanted one
+    ``pattern, least, whole``: a lower bound of its values, and whether it is all."""
+    slice_of = F.pmod(F.xxhash64("value"), F.lit(sum(SLICES)))
+    own_seeds = seeds.select("value", "pattern").join(wanted, "pattern", "left_semi").distinct()
+    left, found, gone, at = wanted, None, None, 0
+    for share in SLICES:
+        part = spread.where(slice_of.between(at, at + share - 1)).select("value", F.explode("patterns").alias("pattern"))
+        part = materialize(part.join(small_side(left.select("pattern"), 24), "pattern", "left_semi").distinct(), "pattern_edges")
+        found = part if found is None else found.unionByName(part)
+        at += share
+        seen = found.unionByName(own_seeds).distinct().groupBy("pattern").agg(F.count("*").alias("least"))
+        seen = materialize(left.join(seen, "pattern", "left").fillna(0, ["least"]), "pattern_bounds")
+        weak = F.col("weight") / (F.col("least") + 1) < floor
+        lost = seen.where(weak).select("pattern", "least", F.lit(at == sum(SLICES)).alias("whole"))
+        gone = lost if gone is None else gone.unionByName(lost)
+        left = seen.where(~weak).select("pattern", "weight")
+    kept = seen.where(~weak).select("pattern", "least", F.lit(True).alias("whole"))
+    bounds = materialize(gone.unionByName(kept), "pattern_bounds")
+    return materialize(found.join(bounds.where("whole"), "pattern", "left_semi"), "whole_edges"), bounds
 
 
 def discover(units: DataFrame, support: int = 3, pattern_floor: float = 0.6,
@@ -171,7 +220,7 @@ def discover(units: DataFrame, support: int = 3, pattern_floor: float = 0.6,
         "s.kind", "s.value", F.explode("patterns").alias("pattern")).where("pattern is not null").distinct()
     seeds = materialize(seeds.withColumn("belief", F.lit(1.0)), "seed_edges")
     spread = places(units).where("seeds is null")
-    edges = known = mentions = believed = good = None
+    edges = bounds = mentions = believed = good = None
     while True:
         told = seeds
         if mentions is not None:
@@ -179,18 +228,22 @@ def discover(units: DataFrame, support: int = 3, pattern_floor: float = 0.6,
                 "pattern is not null").distinct().join(believed, "value").select(*seeds.columns))
         weight = materialize(told.groupBy("pattern", "kind").agg(F.sum("belief").alias("weight"), F.count("*").alias("n"))
                              .where(F.col("n") >= support), "pattern_weights")
-        active = weight.select("pattern").distinct()
-        fresh = materialize(active if known is None else active.join(known, "pattern", "left_anti"), "active_patterns")
+        fresh = weight.groupBy("pattern").agg(F.max("weight").alias("weight"))
+        if bounds is not None:
+            # Not those laid out whole, nor those whose weight is still too low for what is known of them.
+            known = bounds.groupBy("pattern").agg(F.max("least").alias("least"), F.max("whole").alias("whole"))
+            fresh = fresh.join(known, "pattern", "left").where(
+                "whole is null or not whole").where(F.col("weight") / (F.coalesce("least", F.lit(0)) + 1) >= pattern_floor)
+        fresh = materialize(fresh.select("pattern", "weight"), "active_patterns")
         if not fresh.isEmpty():
-            beside = spread.select("value", F.explode("patterns").alias("pattern")).join(
-                small_side(fresh, 24), "pattern", "left_semi").distinct()
-            beside = materialize(beside, "pattern_edges")
+            beside, least = _laid_out(spread, seeds, fresh, pattern_floor)
             edges = beside if edges is None else edges.unionByName(beside)
-            known = fresh if known is None else known.unionByName(fresh)
+            bounds = least if bounds is None else bounds.unionByName(least)
         if edges is None:
             return None
         size = edges.unionByName(seeds.select("value", "pattern")).distinct().groupBy("pattern").agg(F.count("*").alias("size"))
-        good = weight.join(size, "pattern").withColumn("confidence", F.col("weight") / (F.col("size") + 1))
+        whole = bounds.where("whole").select("pattern").distinct()
+        good = weight.join(whole, "pattern", "left_semi").join(size, "pattern").withColumn("confidence", F.col("weight") / (F.col("size") + 1))
         good = materialize(good.where(F.col("confidence") >= pattern_floor).select("pattern", "kind", "confidence"), "accepted")
         belief = edges.join(good, "pattern").groupBy("value", "kind").agg(
             (1 - F.exp(F.sum(F.ln(1 - F.col("confidence"))))).alias("belief"))
@@ -212,27 +265,41 @@ def discover(units: DataFrame, support: int = 3, pattern_floor: float = 0.6,
     return named.where(~plain).select(cols).unionByName(here.select(cols)).distinct()
 
 
+def _free(mentions: DataFrame) -> DataFrame:
+    """``mentions`` without those that overlap one believed more, then longer, then
+    earlier.  Only mentions linked by overlaps are compared."""
+    in_order = Window.partitionBy("th").orderBy("i", "n", "kind")
+    before = F.max(F.col("i") + F.col("n")).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    m = mentions.withColumn("first", F.coalesce(F.col("i") >= before, F.lit(True)).cast("int"))
+    m = m.withColumn("cluster", F.sum("first").over(in_order))
+    found = m.groupBy("th", "cluster").agg(F.array_sort(F.collect_list(F.struct(
+        (-F.col("belief")).alias("doubt"), (-F.col("n")).alias("short"), "i", "n", "kind"))).alias("found"))
+    free = F.expr("""aggregate(found, cast(array() as array<struct<doubt:double,short:int,i:int,n:int,kind:string>>), (acc, x) ->
+        if(exists(acc, y -> x.i < y.i + y.n and y.i < x.i + x.n), acc, concat(acc, array(x))))""")
+    return found.select("th", F.inline(free)).select("th", "i", "n", "kind")
+
+
 def added_spans(units: DataFrame, mentions: DataFrame) -> DataFrame:
     """``th, kind, start, stop``: the places of ``mentions`` in their texts, without
     those that overlap one believed more."""
-    per = materialize(mentions.groupBy("th").agg(F.array_sort(F.collect_list(F.struct(
-        (-F.col("belief")).alias("doubt"), (-F.col("n")).alias("short"), "i", "n", "kind"))).alias("found")), "added_mentions")
-    a = units.join(small_side(per, 200), "th").dropDuplicates(["th"])
-    free = F.expr("""aggregate(found, cast(array() as array<struct<doubt:double,short:int,i:int,n:int,kind:string>>), (acc, x) ->
-        if(exists(acc, y -> x.i < y.i + y.n and y.i < x.i + x.n), acc, concat(acc, array(x))))""")
-    a = a.select("th", "pieces", free.alias("found"), F.expr(rf"""transform(pieces, x -> transform(arrays_zip(
-        split(x.p, r'{SPACE_RUN}'), regexp_extract_all(x.p, r'{SPACE_RUN}', 0)), y -> named_struct(
-        'step', char_length(y.`0`) + coalesce(char_length(y.`1`), 0), 'core', char_length(btrim(y.`0`, {EDGES_SQL})),
-        'lead', char_length(y.`0`) - char_length(trim(leading {EDGES_SQL} from y.`0`)))))""").alias("w"))
-    a = a.select("th", "pieces", "found", "w", F.expr("""flatten(transform(w, (x, k) -> concat(filter(transform(x,
-        (y, j) -> named_struct('k', k, 'j', j, 'lead', y.lead, 'core', y.core)), y -> y.core > 0),
-        if(pieces[k].seeds is null, array(), array(named_struct('k', k, 'j', -1, 'lead', 0, 'core', 0))))))""").alias("u"))
-
-    def start(of: str) -> str:
-        return (f"pieces[u[{of}].k].at + aggregate(slice(w[u[{of}].k], 1, u[{of}].j), 0, (s, y) -> s + y.step) + u[{of}].lead")
-
-    return a.select("th", F.inline(F.expr(f"""transform(found, x -> named_struct('kind', x.kind, 'start', {start('x.i')},
-        'stop', {start('(x.i + x.n - 1)')} + u[x.i + x.n - 1].core))""")))
+    free = materialize(_free(mentions), "added_mentions")
+    own = free.select("th").distinct()
+    a = units.join(small_side(materialize(own, "added_texts"), 24), "th", "left_semi").dropDuplicates(["th"])
+    # One row a word, with what stands before it in its piece; seeds have no length here.
+    words = a.select("th", F.posexplode("pieces").alias("k", "x")).select("th", "k", "x.at", F.expr(rf"""concat(
+        transform(arrays_zip(split(x.p, r'{SPACE_RUN}'), regexp_extract_all(x.p, r'{SPACE_RUN}', 0)), y -> named_struct(
+            'step', char_length(y.`0`) + coalesce(char_length(y.`1`), 0), 'core', char_length(btrim(y.`0`, {EDGES_SQL})),
+            'lead', char_length(y.`0`) - char_length(trim(leading {EDGES_SQL} from y.`0`)), 'unit',
+            char_length(btrim(y.`0`, {EDGES_SQL})) > 0)),
+        if(x.seeds is null, array(), array(named_struct('step', 0, 'core', 0, 'lead', 0, 'unit', true))))""").alias("w"))
+    words = words.select("th", "k", "at", F.posexplode("w").alias("j", "w")).select("th", "k", "j", "at", "w.*")
+    piece, text = Window.partitionBy("th", "k").orderBy("j"), Window.partitionBy("th").orderBy("k", "j")
+    words = words.repartition("th").withColumn("start", (F.col("at") + F.sum("step").over(piece) - F.col("step") + F.col("lead")).cast("int"))
+    words = words.withColumn("i", (F.sum(F.col("unit").cast("int")).over(text) - 1).cast("int")).where("unit")
+    words = materialize(words.select("th", "i", "start", (F.col("start") + F.col("core")).alias("stop")), "added_words")
+    first = free.join(words.select("th", "i", "start"), ["th", "i"])
+    return first.withColumn("i", F.col("i") + F.col("n") - 1).join(words.select("th", "i", "stop"), ["th", "i"]).select(
+        "th", "kind", "start", "stop")
 
 
 def _joined(spans: Column) -> Column:
