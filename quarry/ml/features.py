@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.relational import columns_of_type
@@ -58,13 +58,19 @@ def assemble(df: DataFrame, feature_cols: Sequence[str], label: str, keep: Seque
     return va.transform(df).select(*keep, "features", F.col(label).cast("double").alias("label"))
 
 
+def _draw(key: str, seed: int, n: int) -> Column:
+    """A number below ``n`` from the first 32 bits of an MD5 of seed and key: the
+    same on any partitioning, cluster size or SQL engine."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(n))
+
+
 def split_column(df: DataFrame, key: str, test_percent: int = 20, seed: int = 42) -> DataFrame:
     """M3: seeded 80/20 split by a hash of the row key -- the same rows on any
     partitioning or cluster size (``randomSplit`` depends on partitioning)."""
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100))
-    return df.withColumn("split", F.when(bucket < test_percent, "test").otherwise("train"))
+    return df.withColumn("split", F.when(_draw(key, seed, 100) < test_percent, "test").otherwise("train"))
 
 
 def fold_column(df: DataFrame, key: str, k: int = 5, seed: int = 7) -> DataFrame:
     """Fold number 0..k-1 by a hash of the row key (for CV and stacking)."""
-    return df.withColumn("fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(k)).cast("int"))
+    return df.withColumn("fold", _draw(key, seed, k).cast("int"))

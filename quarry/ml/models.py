@@ -1,7 +1,7 @@
 """Model definitions and model read-outs.
 
-Defaults follow the reference's estimators where Spark can express them:
-OLS without penalty; a forest of 100 trees using all features per split and
+Defaults follow the reference's estimators where Spark can express them (linear
+models: ``ml.linear``): a forest of 100 trees using all features per split and
 unlimited depth (Spark's ceiling is 30); boosting with 100 stages of depth 3
 and rate 0.1.  Spark's trees bin continuous features (``maxBins``), so split
 points differ from an exact-split implementation.
@@ -11,17 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_TREE_DEPTH = 30
 
 
-def ols() -> LinearRegression:
-    return LinearRegression(featuresCol="features", labelCol="label", regParam=0.0, solver="normal")
-
-
 def random_forest(num_trees: int = 100, max_depth: int = MAX_TREE_DEPTH, min_instances: int = 1,
                   seed: int = 42, max_bins: int = 32) -> RandomForestRegressor:
     return RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=num_trees, maxDepth=max_depth,

@@ -11,22 +11,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.ml.linear import ridge
 from quarry.ml.validate import oof_predictions
 from quarry.operators.stats import regression_metrics
 
 
-def ridge(alpha: float, label_std_pop: float, n: int) -> LinearRegression:
-    """Closed-form ridge ``min ||y - Xw - b||^2 + alpha ||w||^2`` expressed
-    with Spark's objective: no feature standardisation and
-    ``regParam = alpha * std_pop(y) / n`` (Spark scales the label)."""
-    return LinearRegression(featuresCol="meta_features", labelCol="label", elasticNetParam=0.0,
-                            standardization=False, solver="normal", regParam=alpha * label_std_pop / n)
-
-
 class StackedModel:
     def __init__(self, bases: Mapping[str, object], meta, names: list[str]):
         self.bases, self.meta, self.names = dict(bases), meta, names
@@ -54,8 +46,7 @@ def fit_stacking(estimators: Mapping[str, object], train: DataFrame, alpha: floa
     wide = oof.groupBy(key, "label").pivot("model", names).agg(F.first("prediction"))
     va = VectorAssembler(inputCols=names, outputCol="meta_features")
     meta_in = va.transform(wide)
-    stats = meta_in.agg(F.stddev_pop("label").alias("sd"), F.count(F.lit(1)).alias("n")).first()
-    meta = ridge(alpha, float(stats["sd"]), int(stats["n"])).fit(meta_in)
+    meta = ridge(meta_in, alpha, "meta_features")
     bases = {n: (fitted or {}).get(n) or est.fit(train) for n, est in estimators.items()}
     return StackedModel(bases, meta, names)
 

@@ -20,23 +20,26 @@ from quarry.operators.stats import metric_mean, regression_metrics
 
 
 def oof_predictions(estimators: Mapping[str, object], data: DataFrame, key: str = "row_id",
-                    fold_col: str = "fold", k: int = 5, parallelism: int = 8) -> DataFrame:
+                    fold_col: str = "fold", k: int = 5, parallelism: int = 8,
+                    fitted: Mapping[str, Mapping[int, object]] | None = None) -> DataFrame:
     """Held-out predictions (model, fold, key, label, prediction): for every
-    fold each estimator is fit on the other folds.  The k x models fits are
+    fold each estimator is fit on the other folds, unless ``fitted`` has its
+    models by fold.  The k x models fits are
     independent Spark jobs submitted from a small thread pool (as
     ``CrossValidator(parallelism=..)`` does); the loop never touches rows."""
-    jobs = [(name, est, f) for name, est in estimators.items() for f in range(k)]
+    jobs = [(name, est, f) for name, est in estimators.items() if name not in (fitted or {}) for f in range(k)]
 
     def fit(job):
         name, est, f = job
         return name, f, est.fit(data.filter(F.col(fold_col) != f))
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        fitted = list(pool.map(fit, jobs))
+        models = list(pool.map(fit, jobs))
+    models += [(name, f, m) for name, folds in (fitted or {}).items() for f, m in folds.items()]
     parts = [
         m.transform(data.filter(F.col(fold_col) == f)).select(
             F.lit(name).alias("model"), F.lit(f).alias("fold"), key, "label", F.col("prediction"))
-        for name, f, m in fitted
+        for name, f, m in models
     ]
     out = parts[0]
     for p in parts[1:]:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from quarry.ml import attribute as at
 from quarry.ml import features as mf
+from quarry.ml import linear as li
 from quarry.ml import models as mm
 from quarry.ml import scenario as sc
 from quarry.ml import stack as sk
@@ -54,9 +55,14 @@ class Lab:
         self._models: dict = {}
         self._oof = None
 
+    def linear(self):
+        """The full least-squares fit and those without a fold, from one scan."""
+        if "_linear" not in self._models:
+            self._models["_linear"] = li.fold_fits(self.train)
+        return self._models["_linear"]
+
     def estimators(self) -> dict:
         return {
-            "linear_regression": mm.ols(),
             "random_forest": mm.random_forest(max_depth=DEFAULT_FOREST_DEPTH).setCacheNodeIds(True)
             .setMaxMemoryInMB(1024),
             "gradient_boosting": mm.gradient_boosting(),
@@ -66,6 +72,8 @@ class Lab:
         if name not in self._models:
             if name == "stacking_ensemble":
                 self._models[name] = self.stacked()
+            elif name == "linear_regression":
+                self._models[name] = self.linear()[0]
             elif name == "tuned_forest":
                 self._models[name] = self.grid()[1]
             else:
@@ -77,14 +85,14 @@ class Lab:
         stacking: both use the same five folds), written once."""
         if self._oof is None:
             path = scratch_path(self.spark, "oof")
-            va.oof_predictions(self.estimators(), self.train).write.parquet(path)
+            va.oof_predictions(self.estimators(), self.train,
+                               fitted={"linear_regression": self.linear()[1]}).write.parquet(path)
             self._oof = self.spark.read.parquet(path)
         return self._oof
 
     def stacked(self):
-        names = list(self.estimators())
-        return sk.fit_stacking(self.estimators(), self.train, alpha=1.0, oof=self.oof(),
-                               fitted={n: self.model(n) for n in names})
+        fitted = {n: self.model(n) for n in ["linear_regression", *self.estimators()]}
+        return sk.fit_stacking(fitted, self.train, alpha=1.0, oof=self.oof(), fitted=fitted)
 
     def grid(self):
         """The scores of all candidates and the best one's refit model."""
@@ -133,7 +141,20 @@ def assemble_features(spark, sf_dir):
     return lab(spark, sf_dir).data.select("row_id", "features", "label")
 
 
-@query("train_test_split")
+def _drawn_sql(seed: int, n: int) -> str:
+    return f"('0x' || substr(md5('{seed}:' || row_id), 1, 8))::BIGINT % {n}"
+
+
+#: FEAT with its row key, split and fold, in SQL.
+_FEAT_SQL = f"""feat AS (SELECT *, CASE WHEN {_drawn_sql(42, 100)} < 20 THEN 'test' ELSE 'train' END AS split,
+         ({_drawn_sql(7, 5)})::INT AS fold
+  FROM (SELECT l_orderkey, l_linenumber, {", ".join([*fx.FEAT_NUMERIC, *fx.FEAT_TEXT, fx.FEAT_TARGET])},
+               row_number() OVER (ORDER BY l_orderkey, l_linenumber,
+                   {", ".join([*fx.FEAT_NUMERIC, *fx.FEAT_TEXT, fx.FEAT_TARGET])}) AS row_id
+        FROM lineitem JOIN part ON l_partkey = p_partkey))"""
+
+
+@query("train_test_split", sql=f"WITH {_FEAT_SQL} SELECT row_id, split, fold FROM feat")
 def train_test_split(spark, sf_dir):
     """M3: hashed 80/20 split and 5 folds on the training part."""
     return lab(spark, sf_dir).data.select("row_id", "split", "fold")
@@ -141,11 +162,34 @@ def train_test_split(spark, sf_dir):
 
 # ------------------------------------------------------------ models --------
 
-@query("ols_regression")
+def _ols_sql() -> str:
+    """Gauss-Jordan elimination of the centred normal equations."""
+    dummies = [(f"{c}_{v}", f"({c} = '{v}')::INT") for c, lv in _LEVELS.items() for v in lv[1:]]
+    columns = [*[(c, c) for c in fx.FEAT_NUMERIC], *dummies, ("y", fx.FEAT_TARGET)]
+    values = ", ".join(f"({e})::DOUBLE" for _, e in columns)
+    p = len(columns) - 1
+    return f"""
+WITH RECURSIVE {_FEAT_SQL},
+z AS (SELECT row_id, unnest([{values}]) AS v, unnest(range(1, {p + 2})) AS i FROM feat WHERE split = 'train'),
+mean AS (SELECT i, avg(v) AS m FROM z GROUP BY i),
+d AS MATERIALIZED (SELECT row_id, i, v - m AS v FROM z JOIN mean USING (i)),
+s AS (SELECT a.i, b.i AS j, sum(a.v * b.v) AS v FROM d a JOIN d b USING (row_id) WHERE a.i <= {p} GROUP BY ALL),
+r AS (SELECT i, list(v ORDER BY j) AS row FROM s GROUP BY i),
+g(k, m) AS (SELECT 0, list(row ORDER BY i) FROM r UNION ALL
+  SELECT k + 1, list_transform(m, lambda row, i: CASE WHEN i = k + 1 THEN list_transform(row, lambda x: x / row[k + 1])
+      ELSE list_transform(row, lambda x, j: x - row[k + 1] * m[k + 1][j] / m[k + 1][k + 1]) END) FROM g WHERE k < {p}),
+w AS (SELECT unnest(range(1, {p + 1})) AS i, unnest(list_transform(m, lambda row: row[{p + 1}])) AS c FROM g WHERE k = {p}),
+f AS (SELECT {[n for n, _ in columns[:-1]]}[i] AS feature, c AS coefficient FROM w UNION ALL
+  SELECT '(intercept)', (SELECT m FROM mean WHERE i = {p + 1}) - (SELECT sum(c * m) FROM w JOIN mean USING (i)))
+SELECT feature, round(coefficient, 4) AS coefficient FROM f"""
+
+
+@query("ols_regression", sql=_ols_sql())
 def ols_regression(spark, sf_dir):
     """M4: OLS coefficients."""
     lb = lab(spark, sf_dir)
-    return mm.coefficients(spark, lb.model("linear_regression"), lb.names)
+    return mm.coefficients(spark, lb.model("linear_regression"), lb.names).withColumn(
+        "coefficient", F.round("coefficient", 4))
 
 
 def _test_predictions(spark, sf_dir, name):

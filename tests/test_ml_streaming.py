@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from quarry.ml import attribute as at
 from quarry.ml import features as mf
+from quarry.ml import linear as li
 from quarry.ml import models as mm
-from quarry.ml import stack as sk
 from quarry.ml import truncate as tr
 from quarry.ml import validate as va
 from quarry.ml.scenario import what_if
@@ -39,17 +39,46 @@ def test_split_is_stable_under_repartition(spark):
     assert a == b and 800 < len(a) < 1200
 
 
+def vectors(spark, x, y, fold=None):
+    rows = [(i, *map(float, r), float(t), int(i % 3 if fold is None else fold)) for i, (r, t) in enumerate(zip(x, y))]
+    names = [f"x{j}" for j in range(x.shape[1])]
+    df = spark.createDataFrame(rows, "row_id long, " + ", ".join(f"{n} double" for n in names) + ", label double, fold int")
+    return VectorAssembler(inputCols=names, outputCol="features").transform(df).repartition(4)
+
+
 def test_ridge_matches_closed_form(spark):
     rng = np.random.default_rng(0)
-    x = rng.normal(size=(200, 3))
+    x = rng.normal(size=(200, 3)) + [0, 1e6, -50]
     y = x @ np.array([1.5, -2.0, 0.5]) + 3.0 + rng.normal(scale=0.3, size=200)
-    df = spark.createDataFrame([(float(a), float(b), float(c), float(t)) for (a, b, c), t in zip(x, y)],
-                               "a double, b double, c double, label double")
-    df = VectorAssembler(inputCols=["a", "b", "c"], outputCol="meta_features").transform(df)
-    model = sk.ridge(1.0, float(np.std(y)), len(y)).fit(df)
+    model = li.ridge(vectors(spark, x, y), 1.0)
     xc, yc = x - x.mean(0), y - y.mean()
-    w = np.linalg.solve(xc.T @ xc + 1.0 * np.eye(3), xc.T @ yc)
-    assert np.allclose(model.coefficients.toArray(), w, atol=1e-3)
+    w = np.linalg.solve(xc.T @ xc + np.eye(3), xc.T @ yc)
+    assert np.allclose(model.coefficients.toArray(), w, rtol=1e-8)
+    assert math.isclose(model.intercept, y.mean() - x.mean(0) @ w, rel_tol=1e-8)
+
+
+def test_fold_fits_equal_separate_fits(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(301, 4)) * [1, 100, 1e-3, 5] + [7, 1500, 0, 0]
+    y = 5e4 + x @ np.array([3.0, -1.0, 250.0, 0.0]) + rng.normal(size=301)
+    data = vectors(spark, x, y)
+    full, folds = li.fold_fits(data)
+    assert sorted(folds) == [0, 1, 2]
+    for model, own in [(full, np.ones(301, bool)), *((m, np.arange(301) % 3 != k) for k, m in folds.items())]:
+        want = np.linalg.lstsq(np.column_stack([np.ones(own.sum()), x[own]]), y[own], rcond=None)[0]
+        assert np.allclose([model.intercept, *model.coefficients], want, rtol=1e-9, atol=1e-9)
+    ours = full.transform(data).select("row_id", "prediction").toPandas().set_index("row_id").prediction
+    assert np.allclose(ours.sort_index(), full.intercept + x @ full.coefficients.toArray())
+
+
+def test_linear_fit_of_repeated_and_constant_columns(spark):
+    rng = np.random.default_rng(2)
+    a = rng.normal(size=50)
+    data = vectors(spark, np.column_stack([a, a, np.full(50, 3.0)]), 2 * a + 1)
+    model, _ = li.fold_fits(data)
+    assert np.allclose(model.coefficients.toArray(), [1, 1, 0]) and math.isclose(model.intercept, 1)
+    with pytest.raises(ValueError, match="needs rows"):
+        li.fold_fits(data.limit(0))
 
 
 def small_forest(spark, trees=7, depth=5, rows=600):
@@ -175,7 +204,7 @@ def test_what_if_scores_like_separate_scoring(spark):
                                    (F.col("id") % 5).cast("double").alias("z"))
     train = VectorAssembler(inputCols=["x", "z"], outputCol="features").transform(
         rows.withColumn("label", F.col("x") * 2 + F.col("z")))
-    model = mm.ols().fit(train)
+    model = li.ridge(train, 0.0)
     got = what_if(model, rows, ["x", "z"], "x", [1.0, 3.0])
     assert got.count() == 400 and "Join" not in got._jdf.queryExecution().executedPlan().toString()
     bad = got.filter(F.abs(F.col("delta") - 2 * (F.col("scenario_value") - F.col("original_value"))) > 1e-6)
