@@ -317,6 +317,7 @@ def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = sets.confirm(materialize(found.where("a <> b").distinct(), "pairs"))
     if large.head(1):
         links = links.union(_blocks(large, light, sets))
+    links = links.union(_one_document(prof, classes))
     # Contract the first components and join the new links' ends.
     ends = _labels_of(_labels_of(links, labels, "a").withColumnRenamed("l_label", "la"), labels, "b").select(
         F.coalesce("la", "a").alias("a"), F.coalesce("l_label", "b").alias("b"))
@@ -329,6 +330,16 @@ def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return prof, materialize(labels, "labels")
 
 
+def _one_document(prof: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links ``a, b`` between the sets of rows that share a ``doc_id``."""
+    own = classes.select(F.col("sig").alias("id"), F.col("cid").alias("label"))
+    of = _labels_of(prof.where("doc_id is not null").select("doc_id", "sig"), own, "sig").where("l_label is not null")
+    of = of.select("doc_id", F.col("l_label").alias("cid"))
+    several = of.groupBy("doc_id").agg(F.min("cid").alias("a"), F.max("cid").alias("b")).where("a <> b").select("doc_id", "a")
+    several = small_side(materialize(several, "shared_ids"), 24)
+    return of.join(several, "doc_id").where("cid <> a").select("a", F.col("cid").alias("b")).distinct()
+
+
 def _blocks(large: DataFrame, light: DataFrame, sets: _Sets) -> DataFrame:
     """Links between components in nodes that no path could make small."""
     known = sets.add(large.select(F.col("cid").alias("id")).distinct())
@@ -354,8 +365,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``doc_id`` is the smallest of its component."""
+    """Rows of ``docs`` whose ``doc_id`` is the smallest of its component.  Of rows
+    that are equal in all columns one stays; rows of one document that differ stay
+    together, and so do rows without a ``doc_id``."""
     gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
     gone = small_side(materialize(gone, "near_duplicates"), 16)
     doc = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id")
-    return doc.join(gone, doc["doc_id"] == gone["gone_id"], "left_anti").select("doc.*")
+    stay = doc.join(gone, doc["doc_id"] == gone["gone_id"], "left_anti")
+    again = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("again_id")).count().where("count > 1")
+    again = materialize(again.select("again_id"), "repeated_ids")
+    if again.isEmpty():
+        return stay.select("doc.*")
+    again = small_side(again, 16)
+    repeated = stay["doc_id"] == again["again_id"]
+    once = stay.join(again, repeated, "left_anti").select("doc")
+    return once.unionByName(stay.join(again, repeated, "left_semi").select("doc").distinct()).select("doc.*")
