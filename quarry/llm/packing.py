@@ -64,9 +64,7 @@ class ChunkIds(dict):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         # For words that are folded already and stand between spaces.
-        self.lean = Tokenizer.from_file(path)
-        self.lean.no_truncation()
-        self.lean.no_padding()
+        self.lean = Tokenizer(self.tokenizer.model)
         self.lean.normalizer = normalizers.Sequence([])
         self.lean.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
@@ -123,6 +121,8 @@ UNSAFE = r"[\x1c-\x1f\x{85}\x{a0}\x{130}\x{300}-\x{10ffff}]|<\|"
 SPACE = re.compile(r"[\x20\x09-\x0D]")
 #: Bytes of texts that are taken together, and characters of a slice of a longer text.
 BLOCK = 1 << 22
+#: Rows of a batch whose ids are held at a time.
+ROWS = 4000
 _LOADED: dict[str, ChunkIds] = {}
 
 
@@ -206,7 +206,7 @@ def _pieces(path: str, limit: int, end: int):
         part = TaskContext.get().partitionId()
         seen: dict[int, int] = {}
         last = np.array([end], "<u4").tobytes()
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             out = []
             for doc_id, ids in zip(batch.column(0).to_pylist(), texts_ids(batch.column(1), cache)):
                 ids += last
