@@ -120,9 +120,9 @@ class ChunkIds(dict):
 UNSAFE = r"[\x1c-\x1f\x{85}\x{a0}\x{130}\x{300}-\x{10ffff}]|<\|"
 SPACE = re.compile(r"[\x20\x09-\x0D]")
 #: Bytes of texts that are taken together, and characters of a slice of a longer text.
-BLOCK = 1 << 22
+BLOCK = 3 << 20
 #: Rows of a batch whose ids are held at a time.
-ROWS = 4000
+ROWS = 2000
 _LOADED: dict[str, ChunkIds] = {}
 
 
