@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators.moments import correlation
 from quarry.operators.quantiles import exact_quantiles
 from quarry.operators.relational import columns_of_type
 
@@ -258,33 +259,73 @@ def histogram(df: DataFrame, col: str, bins: int | str = "auto", exact: bool = T
 
 # ------------------------------------------------------------------ KDE ----
 
+#: Terms of the kernel's expansion.  Cells are half a bandwidth wide, so a value lies
+#: at most d = 1/4 bandwidth from its cell's centre, and by Cramer's bound on Hermite
+#: polynomials the terms left out add less than 2 * d^15 / sqrt(15!) < 2e-15 of a
+#: kernel's height for each value.
+KDE_TERMS = 15
+KDE_CELL = 0.5
+#: A cell reaches this many bandwidths: beyond, a kernel is below 3e-18.
+KDE_REACH = 9.0
+
+
 def kde_curve(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0,
               bw_adjust: float = 1.0) -> DataFrame:
     """Gaussian KDE with Scott's bandwidth ``std * n**(-1/5)`` on a grid
     from ``min - cut*bw`` to ``max + cut*bw`` (seaborn/scipy defaults).
 
-    Every row adds its kernel to all grid points inside one aggregate (one
-    ``sum`` per grid point, partial sums per task), so no row-by-grid product
-    is ever materialised or shuffled.
+    A fast Gauss transform: the rows of a cell are replaced by the sums of the
+    powers of their distance to the cell's centre (a grouped aggregate, partial
+    sums per task), and cells, not rows, add their Hermite expansion to the grid
+    points they reach.  Nulls and NaN are left out; no values, a constant column
+    or an infinite value give no rows.
     """
     x = F.col(col).cast("double")
-    s = df.filter(x.isNotNull()).agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"),
-                                     F.min(x).alias("lo"), F.max(x).alias("hi")).first()
-    if s is None or not s["n"] or s["sd"] is None or s["sd"] == 0:
+    data = df.select(x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    s = data.agg(F.count("x").alias("n"), F.stddev_samp("x").alias("sd"),
+                 F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    if s is None or not s["n"] or not s["sd"] or not math.isfinite(s["sd"]):
         return df.sparkSession.createDataFrame([], "grid_index int, x double, density double")
     n, sd = int(s["n"]), float(s["sd"])
     bw = sd * (n ** (-1.0 / 5.0)) * bw_adjust
-    gmin, gmax = float(s["lo"]) - bw * cut, float(s["hi"]) + bw * cut
+    lo, hi = float(s["lo"]), float(s["hi"])
+    gmin, gmax = lo - bw * cut, hi + bw * cut
     step = (gmax - gmin) / (gridsize - 1)
-    grid = [i * step + gmin for i in range(gridsize - 1)] + [gmax]
     norm = 1.0 / (n * bw * math.sqrt(2 * math.pi))
-    sums = df.filter(x.isNotNull()).agg(*[
-        F.sum(F.exp(F.lit(-0.5) * F.pow((F.lit(g) - x) / F.lit(bw), 2))).alias(f"k{i}")
-        for i, g in enumerate(grid)
-    ])
-    return _long(sums, [F.struct(F.lit(i).alias("grid_index"), F.lit(g).alias("x"),
-                                 (F.col(f"k{i}") * F.lit(norm)).alias("density"))
-                        for i, g in enumerate(grid)])
+
+    # Rows to cells: u is the place in bandwidths, d the distance to the centre.
+    u = (F.col("x") - F.lit(lo)) / F.lit(bw)
+    cells = data.select(u.alias("u")).withColumn("cell", F.floor(F.col("u") / F.lit(KDE_CELL)))
+    cells = cells.select("cell", (F.col("u") - (F.col("cell") + 0.5) * KDE_CELL).alias("d"))
+    power, sums = F.lit(1.0), []
+    for k in range(KDE_TERMS):
+        sums.append(F.sum(power).alias(f"p{k}"))
+        power = power * F.col("d")
+    moments = cells.groupBy("cell").agg(*sums)
+
+    # Cells to grid points: sum of p_k He_k(t) / k!, times the kernel at t.
+    centre = (F.col("cell") + 0.5) * KDE_CELL
+    first = F.ceil((centre - KDE_REACH) * F.lit(bw / step) + F.lit((lo - gmin) / step))
+    last = F.floor((centre + KDE_REACH) * F.lit(bw / step) + F.lit((lo - gmin) / step))
+    first, last = F.greatest(first, F.lit(0)), F.least(last, F.lit(gridsize - 1))
+    reached = moments.filter(first <= last).withColumn("grid_index", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+    point = F.when(F.col("grid_index") == gridsize - 1, F.lit(gmax)).otherwise(F.col("grid_index") * step + gmin)
+    reached = reached.withColumn("t", (point - F.lit(lo)) / F.lit(bw) - centre)
+    # h_k = He_k(t) / k! by its recurrence, packed with its predecessor and the sum.
+    p = F.array(*[F.col(f"p{k}") for k in range(KDE_TERMS)])
+    start = F.struct(F.lit(0.0).alias("before"), F.lit(1.0).alias("h"), F.col("p0").alias("total"))
+
+    def term(acc: Column, k: Column) -> Column:
+        h = (F.col("t") * acc["h"] - acc["before"]) / k
+        return F.struct(acc["h"].alias("before"), h.alias("h"),
+                        (acc["total"] + F.element_at(p, k + 1) * h).alias("total"))
+
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(KDE_TERMS - 1)), start, term)["total"]
+    density = reached.select("grid_index", (F.exp(-0.5 * F.col("t") * F.col("t")) * series).alias("k"))
+    # Points that no cell reaches have a density of 0.
+    grid = df.sparkSession.range(0, gridsize, 1, 1).select(F.col("id").cast("int").alias("grid_index"), F.lit(0.0).alias("k"))
+    density = density.unionAll(grid).groupBy("grid_index").agg(F.sum("k").alias("k"))
+    return density.select("grid_index", point.alias("x"), (F.col("k") * F.lit(norm)).alias("density"))
 
 
 # ------------------------------------------------------------ box stats ----
@@ -350,28 +391,34 @@ def box_outliers(df: DataFrame, col: str, by: Sequence[str] = (), whis: float =
 
 # ---------------------------------------------------------- correlation ----
 
+#: Up to this many columns the pairs are written out as one aggregate's expressions.
+NARROW = 8
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r for every pair, pairwise-complete, long form with both
-    orders and the diagonal.  ``try_divide`` turns a constant column into
-    NULL instead of an ANSI divide-by-zero error."""
+    orders and the diagonal; one scan however many columns.  NaN is missing.
+    NULL where fewer than two rows have both values, where either is constant on
+    those rows and for a column that holds an infinite value.
+
+    A few columns are one aggregate of built-in functions; the p² expressions of a
+    wide table would outgrow generated code, so it goes by matrix products of row
+    blocks (see ``moments``)."""
     cols = list(cols)
+    if len(cols) > NARROW:
+        return correlation(df, cols)
     aggs, pairs = [], []
+    x = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    x = x.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in x.columns])
     for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if j < i:
-                continue
-            xa, xb = F.col(a).cast("double"), F.col(b).cast("double")
+        for j, b in enumerate(cols[i:], i):
+            xa, xb = F.col(f"c{i}"), F.col(f"c{j}")
             both = xa.isNotNull() & xb.isNotNull()
-            cov = F.covar_samp(F.when(both, xa), F.when(both, xb))
-            sa = F.stddev_samp(F.when(both, xa))
-            sb = F.stddev_samp(F.when(both, xb))
-            r = F.try_divide(cov, sa * sb)
+            sa, sb = F.stddev_samp(F.when(both, xa)), F.stddev_samp(F.when(both, xb))
+            r = F.try_divide(F.covar_samp(F.when(both, xa), F.when(both, xb)), sa * sb)
             if i == j:
-                r = F.when(sa > 0, F.lit(1.0))
-            aggs.append(r.alias(f"r_{i}_{j}"))
-            pairs.append((a, b, f"r_{i}_{j}"))
-            if i != j:
-                pairs.append((b, a, f"r_{i}_{j}"))
-    wide = df.agg(*aggs)
-    return _long(wide, [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(k).alias("r"))
-                        for a, b, k in pairs])
+                r = F.when(sa > 0, sa / sa)
+            aggs.append(F.when(~F.isnan(r), r).alias(f"r_{i}_{j}"))
+            pairs += [(p, q, f"r_{i}_{j}") for p, q in {(a, b), (b, a)}]
+    return _long(x.agg(*aggs), [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(k).alias("r"))
+                                for a, b, k in pairs])

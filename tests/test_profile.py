@@ -165,3 +165,49 @@ def test_radix_quantiles_of_a_large_group(spark):
     assert out.first().q == pytest.approx([(n - 1) * p / 3 for p in (0.25, 0.5)], rel=1e-15)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list(_x" not in plan and "percentile" not in plan
+
+
+@pytest.mark.parametrize("draw", ["skewed", "far", "tied"])
+def test_kde_equals_the_direct_sum(spark, draw):
+    rng = np.random.default_rng(8)
+    vals = {"skewed": rng.gamma(2.0, 30.0, 5000), "far": np.append(rng.normal(0, 1, 3000), [4e4, -9e5]),
+            "tied": rng.integers(0, 4, 2000) * 1.5}[draw]
+    df = spark.createDataFrame([(float(v),) for v in vals] + [(None,), (float("nan"),)], "v double")
+    got = pr.kde_curve(df, "v").orderBy("grid_index").collect()
+    bw = vals.std(ddof=1) * len(vals) ** (-1 / 5)
+    grid = np.linspace(vals.min() - 3 * bw, vals.max() + 3 * bw, 200)
+    want = np.exp(-0.5 * ((grid[:, None] - vals[None, :]) / bw) ** 2).sum(1) / len(vals)
+    assert np.allclose([r.density * bw * math.sqrt(2 * math.pi) for r in got], want, rtol=0, atol=1e-11)
+
+
+def test_kde_without_a_spread_has_no_rows(spark):
+    for rows in ([], [(None,)], [(2.0,)], [(2.0,), (2.0,)], [(1.0,), (math.inf,)]):
+        assert pr.kde_curve(spark.createDataFrame(rows, "v double"), "v").count() == 0
+
+
+def test_correlation_of_200_columns_with_gaps(spark):
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 200)) + 1e6 * rng.integers(0, 2, 200) + rng.normal(size=(3000, 1))
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 7], x[:, 8], x[5:, 9] = 3.3, np.nan, np.nan
+    frame = pd.DataFrame(x, columns=[f"c{i}" for i in range(200)])
+    df = spark.createDataFrame(frame).repartition(7)
+    got = pr.correlation_matrix(df, frame.columns).toPandas().pivot(index="col_a", columns="col_b", values="r")
+    # pandas loses digits on values far from 0.
+    want = (frame - frame.mean().round()).corr(min_periods=2).loc[got.index, got.columns]
+    want.loc["c7"], want["c7"] = np.nan, np.nan
+    assert np.allclose(got.to_numpy(float), want.to_numpy(), rtol=0, atol=1e-9, equal_nan=True)
+
+
+@pytest.mark.parametrize("narrow", [0, 8])
+def test_correlation_scans_once_and_keeps_pairs_of_an_empty_table(spark, monkeypatch, narrow):
+    monkeypatch.setattr(pr, "NARROW", narrow)
+    df = spark.range(50).selectExpr("id", "-id as y", "if(id = 3, double('Infinity'), id) as z")
+    plan = pr.correlation_matrix(df, ["id", "y", "z"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == (not narrow) and plan.count("Range (") == 1 + (not narrow)
+    got = {(r.col_a, r.col_b): r.r for r in pr.correlation_matrix(df, ["id", "y", "z"]).collect()}
+    assert got[("id", "y")] == pytest.approx(-1.0) and got[("id", "z")] is None and len(got) == 9
+    empty = pr.correlation_matrix(df.filter("id < 0"), ["id", "y"]).collect()
+    assert len(empty) == 4 and all(r.r is None for r in empty)
