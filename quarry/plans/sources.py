@@ -11,7 +11,7 @@ from quarry.operators.profile import table_counts
 from quarry.plans import fixtures as fx
 from quarry.plans.registry import query
 from quarry.session import scratch_path
-from quarry.sources import io
+from quarry.sources import infer, io
 from quarry.spec import APPOINTMENTS, BILLING, CLINIC_TABLES, DOCTORS, PATIENTS
 
 
@@ -34,6 +34,57 @@ def csv_scan_comma(spark, sf_dir):
     return _csv_round_trip(spark, sf_dir, ",", "csv_comma")
 
 
+#: The stand-in of the inferring scan: customers with gaps, spelled in several ways,
+#: in an integer, a number, a truth value and a text column, and without any value.
+_GAPS_SQL = """
+SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN c_nationkey END AS c_nationkey,
+       CASE WHEN c_custkey % 11 <> 0 THEN c_acctbal END AS c_acctbal,
+       CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal > 0 END AS in_credit,
+       CASE WHEN c_custkey % 13 <> 0 THEN c_mktsegment END AS c_mktsegment,
+       CASE WHEN c_custkey % 2 = 0 THEN CAST(c_nationkey AS VARCHAR) ELSE c_name END AS mixed,
+       CAST(NULL AS DOUBLE) AS nothing
+FROM customer"""
+
+
+def _csv_with_gaps(spark, sf_dir):
+    key = F.col("c_custkey")
+
+    def gaps(value, every, token):
+        return F.when(key % every == 0, F.lit(token)).otherwise(value.cast("string"))
+
+    rows = fx.Tables(spark, sf_dir)("customer").select(
+        key.cast("string").alias("c_custkey"), gaps(F.col("c_nationkey"), 7, "NA").alias("c_nationkey"),
+        gaps(F.col("c_acctbal"), 11, "n/a").alias("c_acctbal"),
+        gaps(F.initcap((F.col("c_acctbal") > 0).cast("string")), 5, "NULL").alias("in_credit"),
+        gaps(F.col("c_mktsegment"), 13, "").alias("c_mktsegment"),
+        F.when(key % 2 == 0, F.col("c_nationkey").cast("string")).otherwise(F.col("c_name")).alias("mixed"),
+        F.lit("nan").alias("nothing"))
+    return io.write_csv(rows, scratch_path(spark, "csv_gaps"), sep=";")
+
+
+@query("csv_scan_inferred", sql=f"""
+SELECT c_custkey, CAST(coalesce(c_nationkey, -1) AS BIGINT) AS c_nationkey, c_acctbal,
+       coalesce(in_credit, FALSE) AS in_credit, in_credit IS NULL AS credit_unknown, c_mktsegment, mixed, nothing
+FROM ({_GAPS_SQL}) AS t""")
+def csv_scan_inferred(spark, sf_dir):
+    """S1 without a schema: a ';' CSV with missing-value tokens, types from its
+    values.  Gaps of the integer show as -1, those of the truth value as a flag."""
+    rows = infer.read_csv_inferred(spark, _csv_with_gaps(spark, sf_dir), sep=";")
+    return rows.select(
+        "c_custkey", F.coalesce("c_nationkey", F.lit(-1).cast("bigint")).alias("c_nationkey"), "c_acctbal",
+        F.coalesce("in_credit", F.lit(False)).alias("in_credit"), F.col("in_credit").isNull().alias("credit_unknown"),
+        "c_mktsegment", "mixed", "nothing")
+
+
+@query("csv_inferred_types", sql="WITH t AS (" + _GAPS_SQL + ")\n" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{k}' AS data_type, count(*) AS n_rows, count(*) - count({c}) AS n_missing FROM t"
+    for c, k in {"c_custkey": "bigint", "c_nationkey": "bigint", "c_acctbal": "double", "in_credit": "boolean",
+                 "c_mktsegment": "string", "mixed": "string", "nothing": "double"}.items()))
+def csv_inferred_types(spark, sf_dir):
+    """The types found, with the rows and missing fields of each column."""
+    return infer.type_report(infer.scan_text(spark, _csv_with_gaps(spark, sf_dir), sep=";"))
+
+
 @query("csv_sink", sql="SELECT * FROM customer")
 def csv_sink(spark, sf_dir):
     """S3: the sink's output read back equals its input."""
