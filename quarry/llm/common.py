@@ -7,6 +7,10 @@ multiplies rows in a join.
 
 from __future__ import annotations
 
+import ctypes
+from functools import wraps
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,3 +71,24 @@ def total(c: Column) -> Column:
 
 __all__ = ["LOWER", "SPACES", "SPACE_RUN", "UPPER", "ascii_lower", "materialize", "null_safe", "ship_package", "small_side",
            "table", "total", "with_text_hash", "words_of"]
+
+
+def give_back() -> None:
+    """Free memory of this Python worker back to the machine: workers outlive a
+    task, and what its allocators keep comes on top of the next stage's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def giving_back(work):
+    """``work``, an iterator of batches to batches, with ``give_back`` at its end."""
+
+    @wraps(work)
+    def run(batches):
+        yield from work(batches)
+        give_back()
+
+    return run

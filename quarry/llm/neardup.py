@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import materialize, ship_package, small_side
+from quarry.llm.common import giving_back, materialize, ship_package, small_side
 from quarry.llm.graph import connected_components
 
 TREES, EXTRA, BRANCHES, DEPTH = 10, 14, 3, 2
@@ -117,6 +117,7 @@ def sample_of(s: np.ndarray) -> bytes:
     return out.tobytes()
 
 
+@giving_back
 def _profiles(batches):
     rng = np.random.default_rng(20_240_501)
     n = TREES + EXTRA
@@ -137,6 +138,7 @@ def _profiles(batches):
                                           pa.array(sample, pa.binary())], schema=schema)
 
 
+@giving_back
 def _sets(batches):
     for batch in batches:
         yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(
@@ -156,6 +158,7 @@ def _samples(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BINS)
 
 
+@giving_back
 def _sampled_pairs(batches):
     for b in batches:
         c = {n: b.column(i) for i, n in enumerate(b.schema.names)}
@@ -186,6 +189,7 @@ def _block_links(t: pa.Table) -> pa.Table:
     return pa.table({"a": np.minimum(ids[i], ids[j]), "b": np.maximum(ids[i], ids[j])})
 
 
+@giving_back
 def _node_pairs(batches):
     """All pairs of a small node that lie in different components and may be
     linked."""
@@ -206,6 +210,7 @@ def _node_pairs(batches):
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in cat], names=["a", "b"])
 
 
+@giving_back
 def _confirmed(batches):
     for b in batches:
         keep = []

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import materialize, ship_package
+from quarry.llm.common import give_back, materialize, ship_package
 
 SEQUENCE = 4096
 END_ID = 1
@@ -219,6 +219,7 @@ def _pieces(path: str, limit: int, end: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int32() if k in (1, 5) else pa.int64()) for k, c in enumerate(cols)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"])
+        give_back()
 
     return run
 
