@@ -120,7 +120,7 @@ class ChunkIds(dict):
 UNSAFE = r"[\x1c-\x1f\x{85}\x{a0}\x{130}\x{300}-\x{10ffff}]|<\|"
 SPACE = re.compile(r"[\x20\x09-\x0D]")
 #: Bytes of texts that are taken together, and characters of a slice of a longer text.
-BLOCK = 3 << 20
+BLOCK = 1 << 20
 #: Rows of a batch whose ids are held at a time.
 ROWS = 2000
 _LOADED: dict[str, ChunkIds] = {}
@@ -219,7 +219,8 @@ def _pieces(path: str, limit: int, end: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int32() if k in (1, 5) else pa.int64()) for k, c in enumerate(cols)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"])
-        give_back()
+            # Between blocks a third to a half of the worker's memory is free.
+            give_back()
 
     return run
 
