@@ -135,6 +135,29 @@ def one_hot_drop_first(spark, sf_dir):
     return mf.one_hot_drop_first(base, fx.FEAT_TEXT)
 
 
+_SPARSE_TEXT = [*fx.FEAT_TEXT, "p_brand", "p_name"]
+
+
+@query("one_hot_sparse", sql="WITH base AS (SELECT * FROM lineitem JOIN part ON l_partkey = p_partkey),\nv AS ("
+       + " UNION ALL ".join(f"SELECT DISTINCT {i} AS c, {c} AS value FROM base WHERE {c} IS NOT NULL"
+                            for i, c in enumerate(_SPARSE_TEXT)) + """),
+r AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY value) AS in_column FROM v),
+d AS (SELECT c, value, CAST(row_number() OVER (ORDER BY c, value) - 1 AS INTEGER) AS feature_index,
+             CAST(count(*) OVER () AS INTEGER) AS size FROM r WHERE in_column > 1)
+""" + " UNION ALL ".join(
+    f"SELECT l_orderkey, l_linenumber, l_partkey, size, feature_index FROM base JOIN d ON c = {i} AND value = {c}"
+    for i, c in enumerate(_SPARSE_TEXT)))
+def one_hot_sparse(spark, sf_dir):
+    """M1 as sparse vectors on lineitem x part, names and brands included; one row
+    per entry of a vector that is not zero."""
+    t = fx.Tables(spark, sf_dir)
+    l, p = t("lineitem"), t("part")
+    base = l.join(p, l.l_partkey == p.p_partkey).select("l_orderkey", "l_linenumber", "l_partkey", *_SPARSE_TEXT)
+    v = mf.one_hot_sparse(base, _SPARSE_TEXT).withColumn("v", F.unwrap_udt("features"))
+    return v.select("l_orderkey", "l_linenumber", "l_partkey", F.col("v.size").alias("size"),
+                    F.explode("v.indices").alias("feature_index"))
+
+
 @query("assemble_features")
 def assemble_features(spark, sf_dir):
     """M2: row key, feature vector, label."""
