@@ -69,6 +69,17 @@ def test_kde_matches_closed_form(spark):
     assert np.allclose([r.density for r in got], dens)
 
 
+def test_box_stats_do_not_deal_rows_out_by_group(spark):
+    # Two groups: rows dealt out by group would be two tasks, whatever the cluster.
+    df = spark.range(0, 1000, 1, 4).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for frame in (pr.box_stats(df, "v", by=["g"]), pr.box_outliers(df, "v", by=["g"])):
+            assert "BroadcastHashJoin" in frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_box_stats_whiskers(spark):
     vals = [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 100.0]
     df = spark.createDataFrame([("g", v) for v in vals] + [("h", 1.0), ("h", 2.0)], "g string, v double")
