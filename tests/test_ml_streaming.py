@@ -319,3 +319,24 @@ def test_grid_scores_equal_separate_fits(spark):
             scores.append(1 - ((own.label - own.prediction) ** 2).sum() / ((own.label - own.label.mean()) ** 2).sum())
         assert math.isclose(r2, np.mean(scores), rel_tol=1e-9)
     assert best.transform(data).count() == data.count()
+
+
+class _Rows:
+    """In place of an estimator: the sizes of the partitions that it is fit on."""
+
+    def fit(self, df):
+        return df.rdd.glom().map(len).collect()
+
+
+def test_spread_bounds_the_rows_of_a_task(spark):
+    df = spark.range(0, 1000, 1, 2).withColumnRenamed("id", "row_id")
+    sizes = mm.Spread(_Rows(), rows=100).fit(df)
+    assert len(sizes) == 10 and max(sizes) < 200 and sum(sizes) == 1000
+    assert mm.Spread(_Rows(), rows=500).fit(df) == [500, 500]
+
+
+def test_boosting_of_the_models_is_spread(spark):
+    from quarry.plans.models import Lab
+
+    boosting = Lab.estimators(None)["gradient_boosting"]
+    assert isinstance(boosting, mm.Spread) and boosting.rows <= 500_000
