@@ -340,3 +340,19 @@ def test_boosting_of_the_models_is_spread(spark):
 
     boosting = Lab.estimators(None)["gradient_boosting"]
     assert isinstance(boosting, mm.Spread) and boosting.rows <= 500_000
+
+
+def test_forest_without_large_node_ids_is_the_same(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    from quarry.plans.models import Lab
+
+    assert isinstance(Lab.estimators(None)["random_forest"], mm.Forest)
+    rf = mm.random_forest(num_trees=5, max_depth=6)
+    # 29 million rows of 100 trees: 12 GB of ids, several times over.
+    assert mm.keep_node_ids(mm.random_forest(), 2_900_000).getCacheNodeIds()
+    assert not mm.keep_node_ids(mm.random_forest(), 29_000_000).getCacheNodeIds()
+    rows = spark.range(0, 500, 1, 3).selectExpr("array(id % 37, id % 11) as x", "cast(id % 37 * (id % 11) as double) as label")
+    rows = rows.select("label", array_to_vector(rows["x"].cast("array<double>")).alias("features"))
+    grown = [mm.Forest(rf, most).fit(rows).toDebugString.split("\n", 1)[1] for most in (0, 1 << 30)]
+    assert grown[0] == grown[1]
