@@ -148,6 +148,35 @@ def test_shapley_equals_subset_enumeration(monkeypatch, leaves, bits):
     assert np.allclose(got.sum(axis=1) + sum(t.base() for t in trees), full, atol=1e-12)
 
 
+def test_a_leaf_is_worked_out_once_per_pattern_of_its_path(monkeypatch):
+    """However many rows there are and however many conditions are tabulated with it."""
+    asked = []
+    real = at.leaf_values
+    monkeypatch.setattr(at, "leaf_values", lambda v, o, z: asked.append((len(z), o.shape[1])) or real(v, o, z))
+    rnd = np.random.default_rng(5)
+    tree = random_tree(rnd, 5, 9)
+    x = rnd.integers(-1, 7, (50_000, 5)).astype(float)
+    got = at.shapley_block([tree], x)
+    assert asked and all(patterns <= 1 << d for d, patterns in asked)
+    for row in (0, 20_000, 49_999):
+        assert np.allclose(got[row], enumerated([tree], x[row], 5), atol=1e-12)
+
+
+@pytest.mark.parametrize("room,lines", [(0, 1 << 13), (20_000, 1 << 13), (1 << 28, 40)])
+def test_shapley_where_tables_are_not_kept(monkeypatch, room, lines):
+    """For lack of room or for their many lines, over chunks, with values that no condition tells apart."""
+    monkeypatch.setattr(at, "KEPT_BYTES", room)
+    monkeypatch.setattr(at, "TABLE_LINES", lines)
+    monkeypatch.setattr(at, "CHUNK", 16)
+    rnd = np.random.default_rng(3)
+    tree = random_tree(rnd, 5, 8)
+    x = rnd.integers(-1, 7, (60, 5)).astype(float)
+    x[5, 0], x[6, 1], x[7, 2] = np.nan, np.inf, -np.inf
+    got = at.shapley_block([tree], x)
+    for row in (0, 5, 6, 7, 30, 59):
+        assert np.allclose(got[row], enumerated([tree], x[row], 5), atol=1e-12)
+
+
 def test_tree_shap_additivity(spark):
     data, model = small_forest(spark)
     pred = model.transform(data).select("row_id", "prediction")
