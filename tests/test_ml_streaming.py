@@ -240,6 +240,22 @@ def test_what_if_scores_like_separate_scoring(spark):
     assert bad.count() == 0
 
 
+def test_what_if_query_scores_every_row(spark, monkeypatch):
+    """Rows of both parts of the split."""
+    from quarry.plans import models as pm
+
+    wide = spark.range(100).selectExpr("id as row_id", "cast(id % 7 as double) as l_quantity", "cast(id % 5 as double) as z")
+    lb = object.__new__(pm.Lab)
+    lb.spark, lb.wide, lb.names = spark, wide, ["l_quantity", "z"]
+    data = mf.split_column(mf.assemble(wide.withColumn("y", F.col("l_quantity") * 2), lb.names, "y", keep=["row_id"]), "row_id")
+    lb.train, lb.test = data.filter("split = 'train'"), data.filter("split = 'test'")
+    lb._models = {"tuned_forest": li.ridge(lb.train, 0.0)}
+    monkeypatch.setattr(pm, "lab", lambda spark, sf_dir: lb)
+    got = QUERIES["what_if_scoring"](spark, "").groupBy("row_id").count().collect()
+    assert sorted(r["row_id"] for r in got) == list(range(100))
+    assert all(r["count"] == len(pm.WHAT_IF_VALUES) for r in got)
+
+
 def test_alert_escalation_positions(spark):
     import datetime as dt
 
