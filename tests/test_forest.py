@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -7,6 +9,8 @@ from pyspark.sql import functions as F
 from quarry.ml import attribute as at
 from quarry.ml import forest as fo
 from quarry.ml import models as mm
+from quarry.ml import truncate as tr
+from quarry.ml import validate as va
 
 
 def rows_of(spark, x, y, parts=3):
@@ -233,3 +237,36 @@ def test_repeated_keys_are_scored_apart(spark):
     want = sorted(r["prediction"] for r in model.transform(data).collect())
     got = sorted(r["prediction"] for r in model.transform(data.withColumn("row_id", F.col("row_id") % 3)).collect())
     assert np.allclose(want, got) and len(set(want)) > 10
+
+
+@pytest.mark.parametrize("bound", [10**6, 100])
+def test_grid_reads_candidates_off_one_forest_a_fold(spark, bound):
+    x, y = drawn(np.random.default_rng(7), 300)
+    data = rows_of(spark, x, y).withColumn("fold", (F.col("row_id") % 2).cast("int")).cache()
+    grid = tr.Grid((1, 3), (2, 5), (2, 30))
+    rf = fo.RandomForest(subtree_rows=bound)
+    table, best = va.grid_search(rf, grid, data, k=2)
+    rows = table.collect()
+    assert [(r.num_trees, r.max_depth, r.min_samples_split) for r in rows] == grid.candidates()
+    for r in rows:
+        scores = []
+        for fold in range(2):
+            m = replace(rf, trees=r.num_trees, depth=r.max_depth, split=r.min_samples_split).fit(data.filter(F.col("fold") != fold))
+            own = m.transform(data.filter(F.col("fold") == fold)).select("label", "prediction").toPandas()
+            scores.append(1 - ((own.label - own.prediction) ** 2).sum() / ((own.label - own.label.mean()) ** 2).sum())
+        assert np.isclose(r.mean_r2, np.mean(scores))
+    won = [r for r in rows if r.is_best]
+    assert len(won) == 1 and won[0].mean_r2 == max(r.mean_r2 for r in rows) and len(best.trees) == won[0].num_trees
+    again = replace(rf, trees=won[0].num_trees, depth=won[0].max_depth, split=won[0].min_samples_split).fit(data)
+    found = [[r["prediction"] for r in m.transform(data).orderBy("row_id").collect()] for m in (best, again)]
+    assert np.allclose(*found)
+
+
+def test_tuning_grows_the_same_kind_of_forest(spark, monkeypatch):
+    from quarry.plans import models as pm
+
+    asked = []
+    monkeypatch.setattr(pm.va, "grid_search", lambda rf, grid, data: asked.append((rf, grid)) or ("scores", "best"))
+    lb = object.__new__(pm.Lab)
+    lb._models, lb.train = {}, None
+    assert lb.model("tuned_forest") == "best" and asked == [(fo.RandomForest(), tr.Grid((50, 100, 150), (4, 6, 8), (2, 5, 10)))]
